@@ -6,21 +6,29 @@ from pyspark.sql import DataFrame
 
 from dialogprep.sources.storage import fresh_path
 
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
 
 def drain(stream: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
     """Process what has arrived and read the result back.
 
     The Parquet sink with its own checkpoint is exactly-once: a restarted run
-    continues, it does not repeat.
+    continues, it does not repeat. Batches without data are off for this query:
+    waiting for a processing-time timeout, it would run them for ever.
     """
     spark = stream.sparkSession
     out = fresh_path(spark, name)
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode(output_mode)
-        .option("checkpointLocation", f"{out}-progress")
-        .trigger(availableNow=True)
-        .start(out)
-    )
+    before = spark.conf.get(NO_DATA_BATCHES)
+    spark.conf.set(NO_DATA_BATCHES, "false")
+    try:
+        query = (
+            stream.writeStream.format("parquet")
+            .outputMode(output_mode)
+            .option("checkpointLocation", f"{out}-progress")
+            .trigger(availableNow=True)
+            .start(out)
+        )
+    finally:
+        spark.conf.set(NO_DATA_BATCHES, before)
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
