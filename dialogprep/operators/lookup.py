@@ -26,7 +26,7 @@ def lookup(
     broadcast. A larger one is shuffled, with the hot keys of ``facts`` spread
     over ``SALTS`` tasks by a hash of ``spread_by``.
     """
-    if table.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+    if table.count() <= max_broadcast_rows:
         return facts.join(F.broadcast(table), keys, "left")
 
     counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))

@@ -10,6 +10,8 @@ has more than ``PrepareConfig.part_messages`` messages.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from dialogprep.functions.text import clean_utterance, in_length_band
 from dialogprep.operators.ordered import BLOCK, dense_index, has_long_groups, total_before, with_block
 
 DEFAULT = PrepareConfig()
+Cleaner = Callable[[Column], Column]
 
 
 def role_at(index: Column) -> Column:
@@ -40,7 +43,7 @@ def _first_position(flags: Column) -> Column:
     return F.when(at > 0, at - 1)
 
 
-def _message_parts(dialog: Column, cfg: PrepareConfig) -> Column:
+def _message_parts(dialog: Column, cfg: PrepareConfig, clean: Cleaner) -> Column:
     """``ARRAY<ARRAY<STRUCT<role, content>>>``, null for a rejected conversation."""
     size = cfg.part_messages
 
@@ -59,11 +62,13 @@ def _message_parts(dialog: Column, cfg: PrepareConfig) -> Column:
         bad = F.transform(turns, lambda t: ~in_length_band(F.length(t), cfg.min_chars, cfg.max_chars))
         return even(F.coalesce(_first_position(bad), F.size(turns))).cast("int")
 
-    cleaned = F.transform(dialog, lambda t: clean_utterance(t))
+    cleaned = F.transform(dialog, lambda t: clean(t))
     return let(cleaned, lambda turns: let(kept_length(turns), lambda k: build(turns, k)))
 
 
-def prepare_dialogs(dialogs: DataFrame, cfg: PrepareConfig = DEFAULT) -> DataFrame:
+def prepare_dialogs(
+    dialogs: DataFrame, cfg: PrepareConfig = DEFAULT, clean: Cleaner = clean_utterance
+) -> DataFrame:
     """``(conv_id, dialog)`` to ``(conv_id, part, messages)``, batch or stream.
 
     The generator is what keeps the regexes single: a filter on a plain
@@ -71,7 +76,7 @@ def prepare_dialogs(dialogs: DataFrame, cfg: PrepareConfig = DEFAULT) -> DataFra
     """
     return dialogs.select(
         "conv_id",
-        F.posexplode_outer(_message_parts(F.col("dialog"), cfg)).alias("part", "messages"),
+        F.posexplode_outer(_message_parts(F.col("dialog"), cfg, clean)).alias("part", "messages"),
     ).where(F.col("messages").isNotNull())
 
 
@@ -102,7 +107,9 @@ def dialog_turns(turns: DataFrame) -> DataFrame:
     return turns.where((F.col("role") != "system") | F.col("role").isNull()).select("conv_id", "turn", "text")
 
 
-def prepare_turns(turns: DataFrame, cfg: PrepareConfig = DEFAULT) -> DataFrame:
+def prepare_turns(
+    turns: DataFrame, cfg: PrepareConfig = DEFAULT, clean: Cleaner = clean_utterance
+) -> DataFrame:
     """``(conv_id, turn, role, text)`` to kept ``(conv_id, i, role, content)``.
 
     Roles come from the position after system rows are dropped. The exchange
@@ -118,7 +125,7 @@ def prepare_turns(turns: DataFrame, cfg: PrepareConfig = DEFAULT) -> DataFrame:
     in_order = Window.partitionBy(*group).orderBy("turn")
     rows = (
         turns.repartition(*group)
-        .withColumn("content", clean_utterance(F.col("text")))
+        .withColumn("content", clean(F.col("text")))
         .withColumn("at", as_long(F.row_number().over(in_order) - 1))
         .withColumn(
             "bad_at",

@@ -76,18 +76,39 @@ def holdout_boundary(ids: DataFrame, cfg: PrepareConfig = DEFAULT) -> DataFrame:
     )
 
 
+def _heads(convs: DataFrame) -> DataFrame:
+    """One row per conversation."""
+    return convs.where(F.col("part") == 0) if "part" in convs.columns else convs
+
+
+def assign_split(convs: DataFrame, last: Column, seed: int) -> DataFrame:
+    """``val`` up to the boundary, ``train`` beyond: no shuffle, no join."""
+    here = F.struct(shuffle_key(F.col("conv_id"), seed).alias("shuffle_key"), "conv_id")
+    return convs.withColumn("split", F.when(here <= last, "val").otherwise("train"))
+
+
 def holdout_split(convs: DataFrame, cfg: PrepareConfig = DEFAULT) -> DataFrame:
     """Adds ``split``: exactly ``max(1, floor(n * fraction))`` conversations in ``val``.
 
     All parts of a conversation go the same way. Rows are compared with a scalar
-    boundary: neither shuffled nor joined, so a conversation with many rows does
-    no harm. ``convs`` is read three times, twice for its ids only: pass a
-    table or a staged frame.
+    boundary, so a conversation with many rows does no harm. ``convs`` is read
+    three times, twice for its ids only: pass a table or a staged frame.
     """
-    ids = convs.where(F.col("part") == 0) if "part" in convs.columns else convs
-    last = holdout_boundary(ids, cfg).scalar()
-    here = F.struct(shuffle_key(F.col("conv_id"), cfg.seed).alias("shuffle_key"), "conv_id")
-    return convs.withColumn("split", F.when(here <= last, "val").otherwise("train"))
+    return assign_split(convs, holdout_boundary(_heads(convs), cfg).scalar(), cfg.seed)
+
+
+def fixed_holdout_split(convs: DataFrame, cfg: PrepareConfig = DEFAULT) -> DataFrame:
+    """``holdout_split`` with the boundary, one row, found now and kept as a literal.
+
+    For a split that is read again and again: nothing is searched twice.
+    """
+    found = holdout_boundary(_heads(convs), cfg).first()
+    if found is None:
+        return convs.withColumn("split", F.lit("train"))
+    key, conv_id = found["last"]
+    kind = convs.schema["conv_id"].dataType
+    last = F.struct(F.lit(key).alias("shuffle_key"), F.lit(conv_id).cast(kind).alias("conv_id"))
+    return assign_split(convs, last, cfg.seed)
 
 
 def head_slice(
@@ -133,9 +154,8 @@ def train_minus_val(df: DataFrame, val: DataFrame) -> DataFrame:
 
 def prepare_counts(loaded: DataFrame, split: DataFrame) -> DataFrame:
     """``(stage, conversations)`` for loaded, kept, train and val."""
-    heads = split.where(F.col("part") == 0) if "part" in split.columns else split
     is_split = [F.col("split") == name for name in ("train", "val")]
-    counted = heads.agg(
+    counted = _heads(split).agg(
         F.count(F.lit(1)).alias("kept"),
         F.count_if(is_split[0]).alias("train"),
         F.count_if(is_split[1]).alias("val"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dialogprep.config import PrepareConfig
 from dialogprep.operators.prepare import gather_messages, prepare_dialogs, prepare_turns
-from dialogprep.operators.split import holdout_split
+from dialogprep.operators.split import fixed_holdout_split
 from dialogprep.sources.storage import stage
 from dialogprep.sources.tables import read_dialogs, read_turns, require_inputs, write_messages
 
@@ -18,9 +18,9 @@ def split_corpus(convs: DataFrame, cfg: PrepareConfig = DEFAULT) -> DataFrame:
     """Staged conversations with their split.
 
     The corpus is cleaned once; the hold-out boundary reads the ids of the
-    staged table, the result reads the rest of it.
+    staged table, and the result may be read any number of times.
     """
-    return holdout_split(stage(convs, "prepared"), cfg)
+    return fixed_holdout_split(stage(convs, "prepared"), cfg)
 
 
 def prepare_corpus(

@@ -186,7 +186,7 @@ def length_band_sweep_docs(spark, d):
 
 @query
 def holdout_split(spark, d):
-    return doc_split(spark, d).select("conv_id", "split")
+    return split.holdout_split(stage(doc_convs(spark, d), "prepared"), CFG).select("conv_id", "split")
 
 
 @query
@@ -222,7 +222,7 @@ def leak_audit(spark, d):
 
 @query
 def train_minus_val(spark, d):
-    both = stage(doc_split(spark, d).select("conv_id", "messages", "split"), "split")
+    both = doc_split(spark, d).select("conv_id", "messages", "split")
     rest = split.train_minus_val(both, both.where(F.col("split") == "val"))
     return rest.select("conv_id", F.size("messages").cast("bigint").alias("n_messages"))
 
@@ -323,7 +323,7 @@ def run_trend(spark, d):
 
 
 def _ngram_losses(spark, d, n):
-    both = stage(doc_split(spark, d).select("conv_id", "messages", "split"), "split")
+    both = doc_split(spark, d)
     is_val = F.col("split") == "val"
     return evaluate.ngram_losses(both.where(~is_val), both.where(is_val), n)
 
