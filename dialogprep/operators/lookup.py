@@ -40,7 +40,7 @@ def lookup(
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     copied = (
         table.join(hot, keys, "left")
-        .withColumn("_salt", F.explode(copies).cast("bigint"))
+        .withColumn("_salt", F.explode(copies.cast("array<bigint>")))
         .drop("_hot")
     )
     return salted.join(copied, [*keys, "_salt"], "left").drop("_salt", "_hot")
