@@ -130,11 +130,14 @@ def leak_audit(df: DataFrame) -> DataFrame:
     """Conversations present in both splits, by id and by content.
 
     ``(kind, key, train_rows, val_rows)``. Aggregated, not joined: copies are
-    combined before the shuffle, however many there are.
+    combined before the shuffle, however many there are. ``df`` may carry a
+    ready ``content_hash`` in place of the messages.
     """
+    ready = "content_hash" in df.columns
+    content = F.col("content_hash") if ready else content_hash(F.col("messages"))
     keys = F.array(
         F.struct(F.lit("id").alias("kind"), F.col("conv_id").cast("string").alias("key")),
-        F.struct(F.lit("content").alias("kind"), content_hash(F.col("messages")).alias("key")),
+        F.struct(F.lit("content").alias("kind"), content.alias("key")),
     )
     return (
         df.select("split", F.inline(keys))
@@ -148,8 +151,12 @@ def leak_audit(df: DataFrame) -> DataFrame:
 
 
 def train_minus_val(df: DataFrame, val: DataFrame) -> DataFrame:
-    """Rows whose conversation is not in ``val``."""
-    return df.join(val.select("conv_id"), "conv_id", "left_anti")
+    """Rows whose conversation is not in ``val``.
+
+    Ids are made unique first, map-side where they repeat. A conversation that
+    fills a partition of ``df`` is split by adaptive execution.
+    """
+    return df.join(val.select("conv_id").distinct(), "conv_id", "left_anti")
 
 
 def prepare_counts(loaded: DataFrame, split: DataFrame) -> DataFrame:

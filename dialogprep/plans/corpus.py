@@ -17,6 +17,7 @@ DEFAULT = PrepareConfig()
 def split_corpus(convs: DataFrame, cfg: PrepareConfig = DEFAULT) -> DataFrame:
     """Staged conversations with their split.
 
+    All columns of ``convs`` are written: select those the split is needed for.
     The corpus is cleaned once; the hold-out boundary reads the ids of the
     staged table, and the result may be read any number of times.
     """

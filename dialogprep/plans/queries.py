@@ -21,6 +21,7 @@ from dialogprep.sources.storage import fresh_path, spread, stage
 from dialogprep.streaming.chat import accepted, chat_history_stream
 from dialogprep.streaming.prepare import prepare_stream
 from dialogprep.streaming.sinks import drain
+from dialogprep.streaming.sources import BATCH_BYTES, STATELESS_BATCH_BYTES, read_stream
 
 CFG = PrepareConfig()
 BANDS = [(lo, hi) for lo in (1, 2, 20) for hi in (200, 500, 2000)]
@@ -58,24 +59,28 @@ def doc_convs(spark: SparkSession, d: str) -> DataFrame:
     return prepare.prepare_dialogs(dialogs(spark, d), CFG)
 
 
-def doc_split(spark: SparkSession, d: str) -> DataFrame:
-    return split_corpus(doc_convs(spark, d), CFG)
+def doc_split(spark: SparkSession, d: str, *columns) -> DataFrame:
+    """The document corpus with its split; only ``columns`` are staged."""
+    convs = doc_convs(spark, d)
+    return split_corpus(convs.select("conv_id", "part", *columns) if columns else convs, CFG)
 
 
-def doc_lengths(spark: SparkSession, d: str, only_train: bool = False) -> DataFrame:
-    convs = doc_convs(spark, d)
-    if only_train:
-        convs = split_corpus(convs, CFG).where(F.col("split") == "train")
-    return sizing.with_units(convs)
+def n_messages():
+    return F.size("messages").cast("bigint").alias("n_messages")
+
 
+def train_lengths(spark: SparkSession, d: str) -> DataFrame:
+    lengths = split_corpus(sizing.with_units(doc_convs(spark, d)), CFG)
+    return lengths.where(F.col("split") == "train").drop("split")
 
-def event_log(spark: SparkSession, d: str, exits: bool = False) -> DataFrame:
+
+def event_log(rows: DataFrame, exits: bool = False) -> DataFrame:
     """Events as chat lines: errors reset, purchases reply, sign-ups may exit."""
     kind = F.col("event_type")
     line = F.when(kind == "error", "/reset")
     if exits:
         line = line.when(kind == "signup", "/exit")
-    return events(spark, d).select(
+    return rows.select(
         F.col("user_id").alias("session"),
         F.col("event_id").alias("seq"),
         F.when(kind == "purchase", "model").otherwise("user").alias("role"),
@@ -186,7 +191,8 @@ def length_band_sweep_docs(spark, d):
 
 @query
 def holdout_split(spark, d):
-    return split.holdout_split(stage(doc_convs(spark, d), "prepared"), CFG).select("conv_id", "split")
+    ids = stage(doc_convs(spark, d).select("conv_id", "part"), "ids")
+    return split.holdout_split(ids, CFG).select("conv_id", "split")
 
 
 @query
@@ -197,9 +203,7 @@ def seeded_shuffle(spark, d):
 
 @query
 def shuffle_head(spark, d):
-    return split.head_slice(doc_convs(spark, d)).select(
-        "conv_id", F.size("messages").cast("bigint").alias("n_messages")
-    )
+    return split.head_slice(doc_convs(spark, d).select("conv_id", n_messages()))
 
 
 @query
@@ -212,19 +216,19 @@ def first_row(spark, d):
 @query
 def prepare_counts(spark, d):
     docs = spark.read.parquet(f"{d}/documents.parquet")
-    return split.prepare_counts(docs, doc_split(spark, d))
+    return split.prepare_counts(docs, doc_split(spark, d, n_messages()))
 
 
 @query
 def leak_audit(spark, d):
-    return split.leak_audit(doc_split(spark, d))
+    hashed = split.content_hash(F.col("messages")).alias("content_hash")
+    return split.leak_audit(doc_split(spark, d, hashed))
 
 
 @query
 def train_minus_val(spark, d):
-    both = doc_split(spark, d).select("conv_id", "messages", "split")
-    rest = split.train_minus_val(both, both.where(F.col("split") == "val"))
-    return rest.select("conv_id", F.size("messages").cast("bigint").alias("n_messages"))
+    both = doc_split(spark, d, n_messages())
+    return split.train_minus_val(both, both.where(F.col("split") == "val")).select("conv_id", "n_messages")
 
 
 # --- Template -------------------------------------------------------------
@@ -283,23 +287,23 @@ def context_reply_pairs(spark, d):
 
 @query
 def train_plan(spark, d):
-    return sizing.train_plan(doc_split(spark, d).where(F.col("split") == "train"))
+    return sizing.train_plan(doc_split(spark, d, n_messages()).where(F.col("split") == "train"))
 
 
 @query
 def length_profile(spark, d):
-    profile = sizing.length_profile(doc_lengths(spark, d))
+    profile = sizing.length_profile(sizing.with_units(doc_convs(spark, d)))
     return profile.withColumns({p: F.round(p, 6) for p in ("p50", "p90", "p99")})
 
 
 @query
 def batch_plan(spark, d):
-    return sizing.batch_plan(stage(doc_lengths(spark, d, only_train=True), "lengths"))
+    return sizing.batch_plan(train_lengths(spark, d))
 
 
 @query
 def pack_sequences(spark, d):
-    return sizing.pack_sequences(stage(doc_lengths(spark, d, only_train=True), "lengths"))
+    return sizing.pack_sequences(train_lengths(spark, d))
 
 
 # --- Evaluation -----------------------------------------------------------
@@ -412,41 +416,37 @@ def _flat_history(rows: DataFrame) -> DataFrame:
 
 @query
 def chat_fold(spark, d):
-    return chat.fold_log(event_log(spark, d))
+    return chat.fold_log(event_log(events(spark, d)))
 
 
 @query
 def chat_history(spark, d):
-    return _flat_history(chat.chat_history(event_log(spark, d)))
+    return _flat_history(chat.chat_history(event_log(events(spark, d))))
 
 
 @query
 def chat_history_exit(spark, d):
-    return _flat_history(chat.chat_history(event_log(spark, d, exits=True)))
+    return _flat_history(chat.chat_history(event_log(events(spark, d), exits=True)))
 
 
 # --- Streams --------------------------------------------------------------
 
 
-def _stream(spark: SparkSession, d: str, name: str) -> DataFrame:
+def _stream(spark: SparkSession, d: str, name: str, spread_by: str, batch_bytes: int) -> DataFrame:
     schema = spark.read.parquet(f"{d}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(d)
+    return read_stream(spark, d, schema, spread_by, f"{name}.parquet", batch_bytes)
 
 
 @query
 def chat_history_stream_events(spark, d):
-    log = _stream(spark, d, "events").select(
-        F.col("user_id").alias("session"),
-        F.col("event_id").alias("seq"),
-        F.when(F.col("event_type") == "purchase", "model").otherwise("user").alias("role"),
-        F.when(F.col("event_type") == "error", "/reset").otherwise(F.col("event_type")).alias("line"),
-    )
+    log = event_log(_stream(spark, d, "events", "user_id", BATCH_BYTES))
     return _flat_history(accepted(drain(chat_history_stream(log), "chat")))
 
 
 @query
 def prepare_stream_docs(spark, d):
-    arriving = tables.dialogs_from_text(_stream(spark, d, "documents"), "doc_id", "text")
+    docs = _stream(spark, d, "documents", "doc_id", STATELESS_BATCH_BYTES)
+    arriving = tables.dialogs_from_text(docs, "doc_id", "text")
     return drain(prepare_stream(arriving, CFG), "prepared-stream").select("conv_id", "part", "text", "split")
 
 
@@ -465,7 +465,7 @@ def split_roundtrip(spark, d):
     path = fresh_path(spark, "splits")
     tables.write_messages(doc_split(spark, d), path)
     named = tables.read_splits(spark, {"train": f"{path}/split=train", "validation": f"{path}/split=val"})
-    return named.select("split", "conv_id", F.size("messages").cast("bigint").alias("n_messages"))
+    return named.select("split", "conv_id", n_messages())
 
 
 @query

@@ -42,13 +42,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few_splits(scan: DataFrame) -> bool:
+    """Would a plain file scan leave cores idle?"""
+    return scan.rdd.getNumPartitions() < 2 * scan.sparkSession.sparkContext.defaultParallelism
+
+
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """Redistribute a scan that has too few splits to use the cluster.
 
     For a plain file scan only. A large input has far more splits than cores
     and is left where it is, without a shuffle.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= 2 * cores:
+    if not few_splits(scan):
         return scan
-    return scan.repartition(cores, key)
+    return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism, key)

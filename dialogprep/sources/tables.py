@@ -49,8 +49,16 @@ def turns_to_dialogs(turns: DataFrame, cfg: PrepareConfig = DEFAULT) -> DataFram
 
 
 def read_messages(spark: SparkSession, path: str | list[str], schema=schemas.CONVERSATION_LINES) -> DataFrame:
-    """JSON lines of ``messages``; a malformed line fails the job."""
-    return spark.read.schema(schema).json(path, mode="FAILFAST")
+    """JSON lines of ``messages``; a malformed line fails the job.
+
+    Bare lines, without the id columns, get an id from their content and count
+    as whole conversations.
+    """
+    lines = spark.read.schema(schema).json(path, mode="FAILFAST")
+    content_id = F.xxhash64(F.to_json("messages"))
+    return lines.withColumns(
+        {"conv_id": F.coalesce("conv_id", content_id), "part": F.coalesce("part", F.lit(0))}
+    )
 
 
 def read_splits(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:

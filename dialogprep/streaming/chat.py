@@ -24,44 +24,47 @@ ONE_DAY_MS = 24 * 60 * 60 * 1000
 
 def _folder(max_history: int, idle_ms: int):
     """The state function. All it uses is local, so workers need no copy of this package."""
+    taken = ["seq", "role", "line", "is_exit", "is_reset", "joins"]
     columns = ["session", "segment", "pos", "seq", "role", "line", "history", "late"]
-    rows_per_frame = 512
+    rows_per_frame = 4096
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=columns).astype({"segment": "Int64", "pos": "Int64"})
+        # Objects, because rows that are late have no segment and no position.
+        return pd.DataFrame(rows, columns=columns, dtype=object)
 
     def fold(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        session = key[0]
+        session = int(key[0])
         if state.exists:
             segment, pos, last_seq, closed, roles, lines = state.get
-            roles, lines = list(roles), list(lines)
+            history = [{"role": r, "content": t} for r, t in zip(roles, lines)]
         else:
-            segment, pos, last_seq, closed, roles, lines = 0, 0, None, False, [], []
+            segment, pos, last_seq, closed, history = 0, 0, None, False, []
 
+        arrived = [row for b in batches for row in zip(*(b[c].tolist() for c in taken))]
+        arrived.sort(key=lambda row: row[0])
         out = []
-        for row in pd.concat(list(batches)).sort_values("seq", kind="stable").itertuples():
-            if last_seq is not None and row.seq <= last_seq:
-                out.append((session, None, None, row.seq, row.role, row.line, None, True))
+        for seq, role, line, is_exit, is_reset, joins in arrived:
+            if last_seq is not None and seq <= last_seq:
+                out.append((session, None, None, seq, role, line, None, True))
             else:
-                last_seq = int(row.seq)
-                if closed or row.is_exit:
+                last_seq = seq
+                if closed or is_exit:
                     closed = True
-                elif row.is_reset:
-                    segment, pos, roles, lines = segment + 1, 0, [], []
-                elif row.joins:
-                    history = None
+                elif is_reset:
+                    segment, pos, history = segment + 1, 0, []
+                elif joins:
                     if pos < max_history:
-                        roles.append(row.role)
-                        lines.append(row.line)
-                        history = [{"role": r, "content": t} for r, t in zip(roles, lines)]
-                    out.append((session, segment, pos, row.seq, row.role, row.line, history, False))
+                        history.append({"role": role, "content": line})
+                    so_far = list(history) if pos < max_history else None
+                    out.append((session, segment, pos, seq, role, line, so_far, False))
                     pos += 1
             if len(out) == rows_per_frame:
                 yield frame(out)
                 out = []
+        roles, lines = [m["role"] for m in history], [m["content"] for m in history]
         state.update((segment, pos, last_seq, closed, roles, lines))
         state.setTimeoutDuration(idle_ms)
         if out:
@@ -75,7 +78,9 @@ def chat_history_stream(
 ) -> DataFrame:
     """``operators.chat.chat_history`` with state kept per session.
 
-    Rows of a micro-batch are folded in ``seq`` order. A row not above the last
+    Rows of a micro-batch are folded in ``seq`` order, so one task holds what a
+    session sent within the batch: read the log with a limit per batch
+    (``streaming.sources.read_stream``). A row not above the last
     ``seq`` seen comes out with ``late`` set and joins nothing. A session idle
     for ``idle_ms`` is forgotten. State holds at most ``max_history`` lines:
     later rows have a null ``history``, as in the batch form, and their

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from dialogprep.operators import prepare
+from dialogprep.operators import prepare, template
 from dialogprep.plans.corpus import prepare_corpus
 from dialogprep.plans.queries import chat_convs, dialogs, doc_convs
 from dialogprep.sources import storage, tables
@@ -27,6 +27,8 @@ def test_json_lines(spark, small, tmp_path):
     assert sorted([(m["role"], m["content"]) for m in x["messages"]] for x in got) == sorted(want)
     back = tables.read_messages(spark, path)
     assert back.select("messages").exceptAll(convs.select("messages")).isEmpty()
+    assert back.where("conv_id IS NULL OR part <> 0").isEmpty()
+    assert template.bos_check(template.render(back)).where("NOT one_bos").isEmpty()
 
 
 def test_text_is_written_unescaped(spark, tmp_path):
@@ -116,3 +118,19 @@ def test_spread_leaves_wide_scans_alone(spark, small, tmp_path):
         spark.conf.set("spark.sql.files.openCostInBytes", before)
     narrow = spark.read.parquet(f"{small}/documents.parquet")
     assert storage.spread(narrow, "doc_id") is not narrow
+
+
+def test_command_line(spark, small, tmp_path, capsys):
+    from dialogprep.__main__ import main
+    from dialogprep.plans.queries import raw_replies, run_losses
+
+    out = str(tmp_path / "corpus")
+    main(["prepare", f"{small}/conversations.parquet", out, "--layout", "turns"])
+    assert json.loads(capsys.readouterr().out)["kept"] == 5
+    main(["inspect", out])
+    main(["plan", out])
+    run_losses(spark, small).write.parquet(str(tmp_path / "losses"))
+    raw_replies(spark, small).withColumn("prompt_id", F.col("conv_id") * 1000 + F.col("i")).write.parquet(str(tmp_path / "raw"))
+    main(["evaluate", "--losses", str(tmp_path / "losses"), "--replies", str(tmp_path / "raw"), "--compare", "stopped", "rambling"])
+    shown = capsys.readouterr().out
+    assert "<bos><start_of_turn>user" in shown and "steps_per_epoch" in shown and "looping_replies" in shown
