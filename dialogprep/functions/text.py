@@ -20,11 +20,11 @@ from dialogprep.functions.columns import let
 # own Unicode \s leaves out. Needs the (?U) flag. As a predicate plus a bitmap
 # it is several times faster in java.util.regex than the same set in ranges.
 WS = r"[\s\x1c-\x1f]"
-_NOT_AFTER_WS = rf"(?<!{WS})"
 
-# A whitespace run is only tried from its first character and never given back,
-# so a text of blanks costs linear time.
-_RUN = rf"{_NOT_AFTER_WS}{WS}++"
+# A whitespace run, tried from its first character only and never given back, so
+# a text of blanks costs linear time. The look behind comes after the first
+# character: most positions fail on that one.
+_RUN = rf"{WS}(?<!{WS}{WS}){WS}*+"
 
 
 def tighten_punctuation(c: Column) -> Column:
@@ -48,7 +48,8 @@ def collapse_whitespace(c: Column) -> Column:
     Single blanks, by far the most common run, are left alone instead of being
     replaced by themselves.
     """
-    return F.btrim(F.regexp_replace(c, rf"(?U){WS}{{2,}}+|(?! ){WS}", " "))
+    other = r"[\s\x1c-\x1f&&[^ ]]"
+    return F.btrim(F.regexp_replace(c, rf"(?U) {WS}++|{other}{WS}*+", " "))
 
 
 def tighten_all(c: Column) -> Column:
@@ -85,7 +86,7 @@ def clean_utterance(
 
 def strip(c: Column) -> Column:
     """Trim the same whitespace at both ends, keeping the inside."""
-    return F.regexp_replace(c, rf"(?U)\A{WS}++|{_NOT_AFTER_WS}{WS}++\z", "")
+    return F.regexp_replace(c, rf"(?U)\A{WS}++|{_RUN}\z", "")
 
 
 def in_length_band(length: Column, lo: int, hi: int) -> Column:

@@ -1,4 +1,4 @@
-"""Left join to a keyed table that neither broadcasts blindly nor skews."""
+"""Joins to a keyed table that neither broadcast blindly nor skew."""
 
 from __future__ import annotations
 
@@ -13,6 +13,15 @@ HOT_SHARE = 1000
 SALTS = 64
 
 
+def keep_keys(
+    df: DataFrame, ids: DataFrame, key: str, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Rows of ``df`` whose key is in ``ids``, which is broadcast if counted small."""
+    if ids.count() <= max_broadcast_rows:
+        ids = F.broadcast(ids)
+    return df.join(ids, key, "left_semi")
+
+
 def lookup(
     facts: DataFrame,
     table: DataFrame,

@@ -21,13 +21,17 @@ def has_long_groups(df: DataFrame, key: str, order: str, limit: int) -> bool:
     Order values are distinct in a key, so none at or above ``limit`` settles
     it, mostly from file statistics. Otherwise the keys are counted.
     """
-    outside = (F.col(order) >= limit) | (F.col(order) < 0)
-    if df.where(outside).limit(1).isEmpty():
+    if df.where(beyond(order, limit)).limit(1).isEmpty():
         return False
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return not counts.where(F.col("n") > limit).limit(1).isEmpty()
 
 
+def beyond(order: str, limit: int) -> Column:
+    """Outside block 0. A key without such a row lies in block 0 as a whole."""
+    return (F.col(order) >= limit) | (F.col(order) < 0)
+
+
 def with_block(df: DataFrame, order: str, limit: int) -> DataFrame:
     return df.withColumn(BLOCK, F.floor(F.col(order) / limit).cast("bigint"))
 

@@ -18,7 +18,15 @@ from pyspark.sql import functions as F
 from dialogprep.config import ROLE_MODEL, ROLE_USER, PrepareConfig
 from dialogprep.functions.columns import as_long, let
 from dialogprep.functions.text import clean_utterance, in_length_band
-from dialogprep.operators.ordered import BLOCK, dense_index, has_long_groups, total_before, with_block
+from dialogprep.operators.lookup import keep_keys
+from dialogprep.operators.ordered import (
+    BLOCK,
+    beyond,
+    dense_index,
+    has_long_groups,
+    total_before,
+    with_block,
+)
 
 DEFAULT = PrepareConfig()
 Cleaner = Callable[[Column], Column]
@@ -121,33 +129,41 @@ def prepare_turns(
     group = ["conv_id", BLOCK] if long else ["conv_id"]
     if long:
         turns = with_block(turns, "turn", cfg.block_rows)
-
     in_order = Window.partitionBy(*group).orderBy("turn")
-    rows = (
-        turns.repartition(*group)
-        .withColumn("content", clean(F.col("text")))
-        .withColumn("at", as_long(F.row_number().over(in_order) - 1))
-        .withColumn(
-            "bad_at",
-            F.when(~in_length_band(F.length("content"), cfg.min_chars, cfg.max_chars), F.col("at")),
+    whole = Window.partitionBy(*group)
+
+    def checked(part: DataFrame) -> DataFrame:
+        """Cleaned turns with their place in the group and, if invalid, that place again."""
+        valid = in_length_band(F.length("content"), cfg.min_chars, cfg.max_chars)
+        return (
+            part.repartition(*group)
+            .withColumn("content", clean(F.col("text")))
+            .withColumn("at", as_long(F.row_number().over(in_order) - 1))
+            .withColumn("bad_at", F.when(~valid, F.col("at")))
         )
+
+    rows = checked(turns).withColumn("i", F.col("at")).withColumn(
+        "prefix", F.coalesce(F.min("bad_at").over(whole), F.count(F.lit(1)).over(whole))
     )
     if long:
-        blocks = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.min("bad_at").alias("bad_at"))
-        whole = Window.partitionBy("conv_id")
-        blocks = blocks.withColumn("offset", total_before("n", "conv_id")).select(
-            *group,
-            "offset",
-            F.coalesce(
-                F.min(F.col("offset") + F.col("bad_at")).over(whole), F.sum("n").over(whole)
-            ).alias("prefix"),
+        # Conversations beyond block 0 take both from a summary of their blocks.
+        ids = turns.where(beyond("turn", cfg.block_rows)).select("conv_id").distinct()
+        blocks = (
+            checked(keep_keys(turns, ids, "conv_id"))
+            .groupBy(*group)
+            .agg(F.count(F.lit(1)).alias("n"), F.min("bad_at").alias("bad"))
+            .withColumn("offset", total_before("n", "conv_id"))
+        )
+        conv = Window.partitionBy("conv_id")
+        first_bad = F.min(F.col("offset") + F.col("bad")).over(conv)
+        blocks = blocks.select(
+            *group, "offset", F.coalesce(first_bad, F.sum("n").over(conv)).alias("long_prefix")
         )
-        rows = rows.join(blocks, group).withColumn("i", F.col("offset") + F.col("at"))
-    else:
-        whole = Window.partitionBy("conv_id")
-        rows = rows.withColumn("i", F.col("at")).withColumn(
-            "prefix",
-            F.coalesce(F.min("bad_at").over(whole), F.count(F.lit(1)).over(whole)),
+        rows = rows.join(blocks, group, "left").withColumns(
+            {
+                "i": F.col("at") + F.coalesce("offset", F.lit(0)),
+                "prefix": F.coalesce("long_prefix", "prefix"),
+            }
         )
     kept = even(F.col("prefix"))
     return rows.where((kept >= cfg.min_kept) & (F.col("i") < kept)).select(
