@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from dialogprep.config import DEFAULT_TEMPLATE, ChatTemplate
-from dialogprep.functions.columns import as_long
+from dialogprep.functions.columns import as_long, let
 from dialogprep.functions.text import strip
 
 
@@ -62,15 +62,16 @@ def reply_spans(
     close = len(tpl.turn_close)
 
     def step(acc: Column, m: Column) -> Column:
-        start = acc["at"] + len(tpl.turn_open) + F.length(m["role"]) + 1
-        end = start + F.length(strip(m["content"])) + close
-        span = F.struct(as_long(start).alias("start"), as_long(end).alias("end"))
-        return F.struct(
-            as_long(end + 1).alias("at"),
-            F.when(is_reply(m, tpl), F.array_append(acc["spans"], span))
-            .otherwise(acc["spans"])
-            .alias("spans"),
-        ).cast(kind)
+        start = as_long(acc["at"] + len(tpl.turn_open) + F.length(m["role"]) + 1)
+
+        def move(end: Column) -> Column:
+            span = F.struct(start.alias("start"), end.alias("end"))
+            spans = F.when(is_reply(m, tpl), F.array_append(acc["spans"], span))
+            return F.struct(
+                as_long(end + 1).alias("at"), spans.otherwise(acc["spans"]).alias("spans")
+            )
+
+        return let(as_long(start + F.length(strip(m["content"])) + close), move).cast(kind)
 
     zero = F.struct(
         as_long(F.length(_bos(tpl, with_bos))).alias("at"),

@@ -50,15 +50,11 @@ def _word_pairs(convs: DataFrame) -> DataFrame:
     pairs = convs.select("conv_id", F.explode("messages.content").alias("text")).select(
         "conv_id", F.split("text", " ").alias("ws")
     )
-    return pairs.select(
-        "conv_id",
-        F.inline(
-            F.arrays_zip(
-                F.concat(F.array(F.lit(START)), F.col("ws")).alias("prev"),
-                F.concat(F.col("ws"), F.array(F.lit(END))).alias("w"),
-            )
-        ).alias("prev", "w"),
+    # Outer, so that no inferred filter on the array splits every text again.
+    zipped = F.arrays_zip(
+        F.concat(F.array(F.lit(START)), F.col("ws")), F.concat(F.col("ws"), F.array(F.lit(END)))
     )
+    return pairs.select("conv_id", F.inline_outer(zipped).alias("prev", "w")).where(F.col("w").isNotNull())
 
 
 def _log_add_one(count: Column, total: Column, vocabulary: Column) -> Column:

@@ -154,6 +154,7 @@ def pack_sequences(
         "rows",
         _next_fit(F.transform("rows", lambda r: r["n_units"]), budget).alias("bins"),
     )
-    return packed.select("shard", F.inline(F.arrays_zip("rows", "bins"))).select(
+    # Outer, so that no inferred filter on the array packs everything again.
+    return packed.select("shard", F.inline_outer(F.arrays_zip("rows", "bins"))).select(
         "rows.conv_id", "rows.n_units", "shard", F.col("bins").alias("bin")
     )

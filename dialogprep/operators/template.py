@@ -35,13 +35,22 @@ def span_rows(convs: DataFrame, tpl: ChatTemplate = DEFAULT_TEMPLATE) -> DataFra
 
 
 def _texts_with_spans(convs: DataFrame, tpl: ChatTemplate) -> DataFrame:
+    """Text and one span per row.
+
+    The outer generator is deliberate: an inner one adds a filter on the array,
+    which is pushed below the projection and renders everything again.
+    """
     first = F.col("part") == 0
-    return convs.select(
-        "conv_id",
-        "part",
-        render_chat(F.col("messages"), False, tpl, first).alias("text"),
-        reply_spans(F.col("messages"), tpl, first).alias("spans"),
-    ).select("conv_id", "part", "text", F.posexplode("spans").alias("reply", "s"))
+    return (
+        convs.select(
+            "conv_id",
+            "part",
+            render_chat(F.col("messages"), False, tpl, first).alias("text"),
+            reply_spans(F.col("messages"), tpl, first).alias("spans"),
+        )
+        .select("conv_id", "part", "text", F.posexplode_outer("spans").alias("reply", "s"))
+        .where(F.col("s").isNotNull())
+    )
 
 
 def _inside(start, end):

@@ -71,3 +71,10 @@ def test_bos(spark):
     ids = spark.createDataFrame([([2, 5],), ([2, 2],), ([5, 2],), ([2],)], "ids array<int>")
     checked = ids.select(FT.ids_start_with_one_bos(F.col("ids"), 2).alias("ok")).collect()
     assert [r.ok for r in checked] == [True, False, False, True]
+
+
+def test_text_is_rendered_once(spark):
+    """One regex for the text and one for the spans."""
+    df = one(spark, [("user", "Hi"), ("model", "Yo")])
+    plan = template.context_reply_pairs(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_replace") == 2
