@@ -120,7 +120,7 @@ raws AS (
   SELECT 'rambling', conv_id, i, '<bos>' || content || ' ' || content || chr(10) FROM msgs WHERE role = 'model'
   UNION ALL
   SELECT 'assistant', conv_id, i, 'as an AI, ' || content || '<eos>' || content
-  FROM msgs WHERE role = 'model' AND conv_id % 2 = 0
+  FROM msgs WHERE role = 'model' AND length(content) >= 100
 ),
 replies AS (SELECT run, conv_id, i, raw, {reply_of("raw")} AS reply FROM raws)"""
 
@@ -305,7 +305,7 @@ JOIN (SELECT kind, key, count(*) AS val_rows FROM keyed WHERE split = 'val' GROU
     "render_prompt": f"""WITH {CHAT}, {TEXTS}
 SELECT conv_id, 0 AS part, text || {OPEN} || 'model' || chr(10) AS text FROM texts""",
     "render_chat_docs": f"WITH {DOCS}, {TEXTS} SELECT conv_id, 0 AS part, text FROM texts",
-    "bos_check": f"WITH {CHAT}, {TEXTS} SELECT conv_id, conv_id % 3 <> 0 AS one_bos FROM texts",
+    "bos_check": f"WITH {CHAT}, {TEXTS} SELECT conv_id, length(text) <= 1000 AS one_bos FROM texts",
     "reply_spans": f'WITH {DOCS}, {SPANS} SELECT conv_id, 0 AS part, reply, "start", "end" FROM spans',
     "labeled_text": f"""WITH {CHAT}, {SPANS}
 SELECT conv_id, 0 AS part, reply, content || {CLOSE} AS labeled FROM spans""",

@@ -92,7 +92,8 @@ def raw_replies(spark: SparkSession, d: str) -> DataFrame:
     """Three runs of generations made of each reply of the corpus.
 
     ``stopped`` ends its turn and rambles on, ``rambling`` repeats itself and
-    never stops, ``assistant`` talks like one, for every other conversation.
+    never stops, ``assistant`` talks like one and has nothing to say where the
+    reply is short: the comparison of runs meets prompts only one answered.
     """
     text = F.col("content")
 
@@ -103,11 +104,11 @@ def raw_replies(spark: SparkSession, d: str) -> DataFrame:
     rambling = F.concat(F.lit(BOS), text, F.lit(" "), text, F.lit("\n"))
     assistant = F.concat(F.lit("as an AI, "), text, F.lit(EOS), text)
     runs = F.array(run("stopped", stopped), run("rambling", rambling), run("assistant", assistant))
-    odd = F.col("conv_id") % 2 == 1
+    short = F.length(text) < 100
     return (
         prepare.explode_messages(doc_convs(spark, d), CFG)
         .where(F.col("role") == ROLE_MODEL)
-        .select("conv_id", "i", F.inline(F.when(odd, F.slice(runs, 1, 2)).otherwise(runs)))
+        .select("conv_id", "i", F.inline(F.when(short, F.slice(runs, 1, 2)).otherwise(runs)))
     )
 
 
@@ -251,9 +252,9 @@ def render_chat_docs(spark, d):
 
 @query
 def bos_check(spark, d):
-    """Every third text gets a second BOS."""
+    """Texts over 1,000 characters get a second BOS."""
     texts = template.render(chat_convs(spark, d))
-    doubled = F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit(BOS), "text")).otherwise(F.col("text"))
+    doubled = F.when(F.length("text") > 1000, F.concat(F.lit(BOS), "text")).otherwise(F.col("text"))
     return template.bos_check(texts.withColumn("text", doubled)).select("conv_id", "one_bos")
 
 
