@@ -84,9 +84,11 @@ def word_keys(text: str) -> list[str]:
     A match of the pattern that takes white space along starts at the first white space of its run, so each of
     these places starts a match. A longer run of white space stays whole with what follows.
     """
-    keys = text.replace("\n", " \n").split(" ")
-    if "" in keys or "\n" in keys or ODD.search(text):
+    spread = text.replace("\n", " \n")
+    odd = not spread.replace("\n", "").isprintable() and ODD.search(text)
+    if odd or "  " in spread or "\n " in spread or spread[:1] in ("", " ") or spread[-1] in " \n":
         return ["\0" + w for w in _careful(text)]
+    keys = spread.split(" ")
     keys[0] = "\0" + keys[0]
     return keys
 

@@ -141,16 +141,17 @@ def write_documents(docs: DataFrame, path: str, folder: str, end_id: int, block_
     rows = rows.sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, end = word_tokenizer(path), int(end_id).to_bytes(4, "little")
+        own = word_tokenizer(path)
+        end = int(end_id).to_bytes(own.dtype.itemsize, "little")
         held, size, block = [], 0, 0
         for batch in chunks(batches, limit=1 << 20):
             ids = own.encode_all(texts(batch))
             for doc_id, raw, shard in zip(batch.column("doc_id").to_pylist(), ids, batch.column("shard").to_pylist(), strict=True):
-                n = len(raw) // 4 + 1
+                n = len(raw) // own.dtype.itemsize + 1
                 if held and size + n > block_ids:
                     yield _block(block, held)
                     held, size, block = [], 0, block + 1
-                held.append((doc_id, shard, np.frombuffer(raw + end, dtype="<u4")))
+                held.append((doc_id, shard, np.frombuffer(raw + end, dtype=own.dtype)))
                 size += n
         if held:
             yield _block(block, held)

@@ -28,15 +28,16 @@ PIECES = "doc_id long, source string, start long, length long, doc_tokens long,
 def tokenise(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """(doc_id, source, task, row, n, ids): each text's ids and ``end_id``, once, as a table in the shared folder.
 
-    (task, row) names the row for good, also where ids are null or repeated.
+    Ids have as many bytes as the tokenizer's greatest needs, two or four. (task, row) names the row for good, also where ids are null or repeated.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, task, row = word_tokenizer(path), TaskContext.get().partitionId(), 0
-        end = int(end_id).to_bytes(4, "little")
+        size = own.dtype.itemsize
+        end = int(end_id).to_bytes(size, "little")
         for batch in chunks(batches):
             ids = [i + end for i in own.encode_all(texts(batch))]
-            n = np.array([len(i) // 4 for i in ids], dtype=np.int64)
+            n = np.array([len(i) // size for i in ids], dtype=np.int64)
             columns = [batch.column("doc_id"), batch.column("source"), pa.array(np.full(len(ids), task)), pa.array(np.arange(row, row + len(ids))), pa.array(n), pa.array(ids, pa.binary())]
             row += len(ids)
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "source", "task", "row", "n", "ids"])
@@ -91,7 +92,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, pack
                 if now is None or now.number != number:
                     if now:
                         yield from now.packed()
-                    now = Bucket(number, window, packet)
+                    now = Bucket(number, window, packet, word_tokenizer(path).dtype)
                 if task < 0:
                     now.open(source, weight, deficit)
                 else:
@@ -106,8 +107,8 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, pack
 class Bucket:
     """The queues of one bucket, and the sequences made of them."""
 
-    def __init__(self, number: int, window: int, packet: int) -> None:
-        self.number, self.window, self.packet = number, window, packet
+    def __init__(self, number: int, window: int, packet: int, dtype: np.dtype) -> None:
+        self.number, self.window, self.packet, self.dtype, self.size = number, window, packet, dtype, dtype.itemsize
         self.queues: dict[str, deque] = {}
         self.weight: dict[str, float] = {}
         self.deficit: dict[str, float] = {}
@@ -120,7 +121,7 @@ class Bucket:
         """(source, doc_id, ids, start, length) in the order of the round-robin."""
         active = [s for s in self.queues if self.queues[s]]
         while active:
-            need = {s: min(self.packet, len(self.queues[s][0][1]) // 4 - self.queues[s][0][2]) for s in active}
+            need = {s: min(self.packet, len(self.queues[s][0][1]) // self.size - self.queues[s][0][2]) for s in active}
             # turns in which no queue could send are taken at once
             turns = max(1.0, min(np.ceil((need[s] - self.deficit[s]) / (self.weight[s] * self.window)) for s in active))
             for s in active:
@@ -128,13 +129,13 @@ class Bucket:
                 queue = self.queues[s]
                 while queue:
                     doc_id, ids, start = queue[0]
-                    length = min(self.packet, len(ids) // 4 - start)
+                    length = min(self.packet, len(ids) // self.size - start)
                     if length > self.deficit[s]:
                         break
                     # packets of one document that follow each other are one piece
-                    whole = min(len(ids) // 4 - start, int(self.deficit[s] // self.packet) * self.packet or length)
+                    whole = min(len(ids) // self.size - start, int(self.deficit[s] // self.packet) * self.packet or length)
                     self.deficit[s] -= whole
-                    if start + whole == len(ids) // 4:
+                    if start + whole == len(ids) // self.size:
                         queue.popleft()
                     else:
                         queue[0][2] = start + whole
@@ -142,15 +143,16 @@ class Bucket:
             active = [s for s in active if self.queues[s]]
 
     def packed(self) -> Iterator[pa.RecordBatch]:
-        left = sum(len(ids) // 4 for q in self.queues.values() for _, ids, _ in q)
+        left = sum(len(ids) // self.size for q in self.queues.values() for _, ids, _ in q)
         sequence, room, offset, out = self.number << 24, min(self.window, left), 0, []
         if left < self.window:
             room = _power(left)
         for source, doc_id, ids, start, length in self.served():
-            total = len(ids) // 4
+            total = len(ids) // self.size
             while length:
                 take = min(length, room - offset)
-                out.append((doc_id, source, start, take, total, sequence, offset, ids[4 * start : 4 * (start + take)]))
+                own = np.frombuffer(ids, self.dtype, take, start * self.size).astype("<u4").tobytes()
+                out.append((doc_id, source, start, take, total, sequence, offset, own))
                 start, length, offset, left = start + take, length - take, offset + take, left - take
                 if offset == room:
                     sequence, offset = sequence + 1, 0

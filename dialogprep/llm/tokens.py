@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import os
-from array import array
 from functools import cache
 
+import numpy as np
+
 from dialogprep.llm.bpe import forget, word_keys, word_of
 
 #: Encoded words a Python worker remembers. It forgets none and learns no more when full.
-REMEMBERED = 1 << 19
+REMEMBERED = 900_000
+#: Words asked for in one text.
+TOGETHER = 256
 
 
 class WordTokenizer:
@@ -17,7 +20,7 @@ class WordTokenizer:
 
     Such a file's pattern cuts before each single space or line end after a visible character. The library is
     asked for the words between such cuts, each kind once while it is remembered. Strings that look like special
-    tokens are ordinary text.
+    tokens are ordinary text. Ids are little-endian unsigned integers of ``dtype``, two bytes if all ids fit.
     """
 
     def __init__(self, path: str) -> None:
@@ -26,19 +29,42 @@ class WordTokenizer:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.line_end = self.library.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
 
     def encode_all(self, many: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit integers."""
+        """The ids of each text."""
         known = self.known
         words = [word_keys(text) for text in many]
         fresh = list(set().union(*words).difference(known))
-        coded = self.library.encode_batch_fast(list(map(word_of, fresh)), add_special_tokens=False)
-        known.update((w, array("I", e.ids).tobytes()) for w, e in zip(fresh, coded, strict=True))
+        known.update(zip(fresh, self._encode_words(list(map(word_of, fresh))), strict=True))
         out = [b"".join(map(known.__getitem__, own)) for own in words]
         forget(known, fresh, REMEMBERED)
         return out
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Words without a line end are asked for line by line in one text, as a line end is a token of its own."""
+        out: list[bytes] = [b""] * len(words)
+        plain = [i for i, w in enumerate(words) if "\n" not in w and not w[-1:].isspace()] if len(self.line_end) == 1 else []
+        groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
+        coded = self.library.encode_batch_fast(["\n".join([words[i] for i in g]) for g in groups], add_special_tokens=False)
+        alone = set(range(len(words))).difference(plain)
+        for group, own in zip(groups, coded, strict=True):
+            ids = np.array(own.ids, dtype=self.dtype)
+            cuts = np.flatnonzero(ids == self.line_end[0])
+            if len(cuts) + 1 != len(group):
+                alone.update(group)
+                continue
+            raw, size = ids.tobytes(), self.dtype.itemsize
+            begin = [0, *((cuts + 1) * size).tolist()]
+            for i, a, b in zip(group, begin, [*(cuts * size).tolist(), len(raw)], strict=True):
+                out[i] = raw[a:b]
+        rest = sorted(alone)
+        for i, own in zip(rest, self.library.encode_batch_fast([words[i] for i in rest], add_special_tokens=False), strict=True):
+            out[i] = np.array(own.ids, dtype=self.dtype).tobytes()
+        return out
+
 
 @cache
 def word_tokenizer(path: str) -> WordTokenizer:
