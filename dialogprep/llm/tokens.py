@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
+import json
 import os
 from functools import cache
 
 import numpy as np
+import regex
+from public_tokenizers import PATTERN
 
 from dialogprep.llm.bpe import forget, word_keys, word_of
 
 #: Encoded words a Python worker remembers. It forgets none and learns no more when full.
 REMEMBERED = 900_000
-#: Words asked for in one text.
-TOGETHER = 256
 
 
 class WordTokenizer:
-    """Encodes as ``Tokenizer.encode(text, add_special_tokens=False)`` does, for byte-level BPE files.
+    """Encodes as ``Tokenizer.encode(text, add_special_tokens=False)`` does.
 
-    Such a file's pattern cuts before each single space or line end after a visible character. The library is
-    asked for the words between such cuts, each kind once while it is remembered. Strings that look like special
-    tokens are ordinary text. Ids are little-endian unsigned integers of ``dtype``, two bytes if all ids fit.
+    For a file of byte-level BPE, texts are cut at single spaces and line ends, where its pattern cuts too, and the
+    words are remembered. A new word is cut by the pattern, and the library's model encodes the pieces. Other
+    files are left to the library as a whole. Strings that look like special tokens are ordinary text. Ids are
+    little-endian unsigned integers of ``dtype``, two bytes if all ids fit.
     """
 
     def __init__(self, path: str) -> None:
@@ -30,39 +32,41 @@ class WordTokenizer:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.line_end = self.library.encode("\n", add_special_tokens=False).ids
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        before = parts.get("pre_tokenizer") or {}
+        self.by_word = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not parts.get("normalizer")
+        self.split, self.model = regex.compile(PATTERN).findall, self.library.model.tokenize
+        # byte-level files write each byte as a visible character: itself, or one from 256 on
+        seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        hidden = iter(range(256, 512))
+        self.visible = {b: b if b in seen else next(hidden) for b in range(256)}
         self.known: dict[str, bytes] = {}
+        self.short: dict[str, bytes] = {}
 
     def encode_all(self, many: list[str]) -> list[bytes]:
         """The ids of each text."""
+        if not self.by_word:
+            return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.library.encode_batch(many, add_special_tokens=False)]
         known = self.known
         words = [word_keys(text) for text in many]
         fresh = list(set().union(*words).difference(known))
-        known.update(zip(fresh, self._encode_words(list(map(word_of, fresh))), strict=True))
+        known.update([(w, self._encode(word_of(w))) for w in fresh])
         out = [b"".join(map(known.__getitem__, own)) for own in words]
         forget(known, fresh, REMEMBERED)
         return out
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Words without a line end are asked for line by line in one text, as a line end is a token of its own."""
-        out: list[bytes] = [b""] * len(words)
-        plain = [i for i, w in enumerate(words) if "\n" not in w and not w[-1:].isspace()] if len(self.line_end) == 1 else []
-        groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
-        coded = self.library.encode_batch_fast(["\n".join([words[i] for i in g]) for g in groups], add_special_tokens=False)
-        alone = set(range(len(words))).difference(plain)
-        for group, own in zip(groups, coded, strict=True):
-            ids = np.array(own.ids, dtype=self.dtype)
-            cuts = np.flatnonzero(ids == self.line_end[0])
-            if len(cuts) + 1 != len(group):
-                alone.update(group)
-                continue
-            raw, size = ids.tobytes(), self.dtype.itemsize
-            begin = [0, *((cuts + 1) * size).tolist()]
-            for i, a, b in zip(group, begin, [*(cuts * size).tolist(), len(raw)], strict=True):
-                out[i] = raw[a:b]
-        rest = sorted(alone)
-        for i, own in zip(rest, self.library.encode_batch_fast([words[i] for i in rest], add_special_tokens=False), strict=True):
-            out[i] = np.array(own.ids, dtype=self.dtype).tobytes()
+    def _encode(self, word: str) -> bytes:
+        out = b""
+        for piece in self.split(word):
+            # a remembered word stands for itself behind a space, unless it is a key of another kind
+            ids = self.known.get(piece[1:]) if piece[0] == " " and piece[1:2] not in ("", "\0", "\n") else self.short.get(piece)
+            if ids is None:
+                spelled = piece.encode().decode("latin-1").translate(self.visible)
+                ids = np.array([t.id for t in self.model(spelled)], dtype=self.dtype).tobytes()
+                if len(piece) == 1:
+                    self.short[piece] = ids
+            out += ids
         return out
 
 
