@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+from array import array
 from functools import cache
 
 import numpy as np
@@ -32,6 +33,7 @@ class WordTokenizer:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
         before = parts.get("pre_tokenizer") or {}
@@ -63,7 +65,7 @@ class WordTokenizer:
             ids = self.known.get(piece[1:]) if piece[0] == " " and piece[1:2] not in ("", "\0", "\n") else self.short.get(piece)
             if ids is None:
                 spelled = piece.encode().decode("latin-1").translate(self.visible)
-                ids = np.array([t.id for t in self.model(spelled)], dtype=self.dtype).tobytes()
+                ids = array(self.code, [t.id for t in self.model(spelled)]).tobytes()
                 if len(piece) == 1:
                     self.short[piece] = ids
             out += ids
