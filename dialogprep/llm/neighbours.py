@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,15 +82,32 @@ def fit(sample: np.ndarray, cells: int, seed: int = 7) -> Index:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, label, unit array<double>): rows with a label and a vector that has a direction, of unit length."""
-    x = F.transform("embedding", lambda v: v.cast("double"))
-    sound = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    rows = vectors.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()).where(sound)
-    # scaled by the greatest part first, so that no square overflows or vanishes
-    rows = rows.select("vec_id", "label", x.alias("x")).withColumn("top", F.array_max(F.transform("x", F.abs))).where(F.col("top") > 0)
-    rows = rows.withColumn("x", F.transform("x", lambda v: v / F.col("top")))
-    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))
-    return rows.withColumn("norm", norm).select("vec_id", "label", F.transform("x", lambda v: v / F.col("norm")).alias("unit"))
+    """(vec_id, label, unit array<double>): rows with a label and a vector that has a direction, of unit length.
+
+    A vector is scaled by its greatest part first, so that no square overflows or vanishes. Equal vectors have
+    equal units.
+    """
+    rows = vectors.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull())
+    rows = rows.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("embedding")
+            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            parts = lists.flatten().to_numpy(zero_copy_only=False)  # a null part becomes NaN
+            first = np.cumsum(sizes) - sizes
+            for width in np.unique(sizes[sizes > 0]):
+                row = np.flatnonzero(sizes == width)
+                x = parts[first[row][:, None] + np.arange(width)]
+                top = np.abs(x).max(axis=1)
+                good = np.isfinite(top) & (top > 0)
+                x = x[good] / top[good][:, None]
+                x /= np.sqrt((x**2).sum(axis=1))[:, None]
+                kept = batch.take(pa.array(row[good]))
+                ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * width)
+                yield pa.RecordBatch.from_arrays([kept.column("vec_id"), kept.column("label"), pa.ListArray.from_arrays(ends, pa.array(x.ravel()))], ["vec_id", "label", "unit"])
+
+    return rows.mapInArrow(run, f"vec_id long, label {vectors.schema['label'].dataType.simpleString()}, unit array<double>")
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, probes: int = PROBES, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
@@ -112,7 +130,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, probes: int =
     """
     spark = vectors.sparkSession
     every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label"), "embedding")
-    units = usable(every)
+    units = stage(usable(every), "units")
     # copies: one member, told by its least id
     members = units.groupBy("label", "unit").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
     members = stage(members, "members")
