@@ -54,13 +54,18 @@ KEEP_CHECKPOINTS = 2
 # --- End of fixed values --------------------------------------------------
 
 
+# More messages than any conversation has.
+WHOLE = 1 << 30
+
+
 @dataclass(frozen=True)
 class PrepareConfig:
     """Knobs of the corpus preparation.
 
-    ``part_messages`` bounds one conversation row: a longer conversation is
-    carried as several rows numbered by ``part``, each a valid conversation on
-    its own (it starts with a user turn and ends on a reply).
+    A conversation is one row, however long. ``part_messages`` can be set lower
+    to store long conversations as several rows numbered by ``part``, each of
+    which starts with a user turn and ends on a reply; operators then work on
+    the parts.
     ``block_rows`` bounds one window group when a single conversation holds a
     large share of a turn table.
     """
@@ -70,7 +75,7 @@ class PrepareConfig:
     min_turns: int = 2
     val_fraction: float = 0.05
     seed: int = 42
-    part_messages: int = 1024
+    part_messages: int = WHOLE
     block_rows: int = 65536
 
     def __post_init__(self) -> None:

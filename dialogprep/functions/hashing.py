@@ -19,6 +19,10 @@ def key_bucket(key: Column) -> Column:
 
 
 def in_hash_share(conv_id: Column, seed: int, share: float) -> Column:
-    """Stateless membership in about ``share`` of the ids, for streams."""
-    slot = F.conv(key_bucket(shuffle_key(conv_id, seed)), 16, 10).cast("bigint")
-    return slot % 10000 < int(round(share * 10000))
+    """Stateless membership in about ``share`` of the ids, for streams.
+
+    The first 60 bits of the key are compared with a bound, so that no share is
+    favoured.
+    """
+    slot = F.conv(F.substring(shuffle_key(conv_id, seed), 1, 15), 16, 10).cast("bigint")
+    return slot < int(share * (1 << 60))

@@ -25,7 +25,7 @@ from dialogprep.functions.text import (
     sounds_like_assistant,
     units,
 )
-from dialogprep.operators.ordered import BLOCK, before, has_long_groups, with_block
+from dialogprep.operators.ordered import BLOCK, before, has_long_groups, join_null_safe, with_block
 
 DEFAULT = PrepareConfig()
 
@@ -96,7 +96,7 @@ def role_audit(
         carried = F.last("_last", ignorenulls=True).over(before(key))
         last = last.select(key, BLOCK, carried.alias("_carried"))
         lag = F.lag("role").over(Window.partitionBy(key, BLOCK).orderBy(order))
-        rows = rows.withColumn("_lag", lag).join(last, [key, BLOCK])
+        rows = join_null_safe(rows.withColumn("_lag", lag), last, [key, BLOCK])
         previous = F.coalesce("_lag", "_carried")
     else:
         previous = F.lag("role").over(Window.partitionBy(key).orderBy(order))

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from dialogprep.config import CMD_EXIT, CMD_RESET, ROLE_USER
 from dialogprep.functions.columns import as_long
 from dialogprep.functions.text import strip
-from dialogprep.operators.ordered import BLOCK, before, has_long_groups, total_before, with_block
+from dialogprep.operators.ordered import BLOCK, before, has_long_groups, join_null_safe, total_before, with_block
 
-# Longest history carried in a row; longer ones stay in the folded log.
+# Messages of a page; a longer history is several pages.
 MAX_HISTORY = 1024
 BLOCK_ROWS = 65536
 
@@ -79,7 +79,7 @@ def fold_log(log: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
                 F.max(F.col("joined_0") + F.col("b_base")).over(before("session")).alias("base_0"),
             )
         )
-        rows = rows.join(blocks, group).select(
+        rows = join_null_safe(rows, blocks, group).select(
             "session",
             "seq",
             "role",
@@ -103,22 +103,25 @@ def fold_log(log: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 def chat_history(
     log: DataFrame, max_history: int = MAX_HISTORY, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """The folded log, each row with the messages of its history up to itself.
+    """The folded log, each row with its page of the history up to itself.
 
-    ``history`` is whole or null: null from ``pos == max_history`` on, where the
-    rows of ``fold_log`` up to ``pos`` are the history. Histories are built page
-    by page, so a long segment is not one task's work.
+    A page holds ``max_history`` messages, the first of them at ``history_from``.
+    Up to that length ``history`` is the whole history. Behind it, the pages
+    before are those of the rows at their ends: ``pos == history_from - 1`` and
+    so on. Nothing is left out, no row is longer than a page, and a long segment
+    is not one task's work.
     """
-    page = F.floor(F.col("pos") / max_history)
+    page = F.floor(F.col("pos") / max_history).cast("bigint")
     so_far = (
         Window.partitionBy("session", "segment", "_page")
         .orderBy("pos")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    message = F.when(F.col("_page") == 0, F.struct("role", F.col("line").alias("content")))
+    message = F.struct("role", F.col("line").alias("content"))
     return (
         fold_log(log, block_rows)
         .withColumn("_page", page)
-        .withColumn("history", F.when(F.col("_page") == 0, F.collect_list(message).over(so_far)))
+        .withColumn("history", F.collect_list(message).over(so_far))
+        .withColumn("history_from", as_long(F.col("_page") * max_history))
         .drop("_page")
     )

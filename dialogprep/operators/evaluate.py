@@ -19,17 +19,22 @@ START, END = "<s>", "</s>"
 # --- Losses ---------------------------------------------------------------
 
 
+def _is_loss(column: str) -> Column:
+    return F.col(column).isNotNull() & ~F.isnan(column)
+
+
 def perplexity(losses: DataFrame, by: Sequence[str] = ("run",), shifted: bool = False) -> DataFrame:
     """``exp(sum(loss * n) / sum(n))`` per run.
 
     ``losses`` holds the mean loss and unit count of each conversation. Long
     conversations weigh more. ``shifted`` weighs by ``n - 1``, the number of
-    predicted units.
+    predicted units. A row without a loss, or with NaN, has no weight.
     """
     n = F.col("n_tokens") - 1 if shifted else F.col("n_tokens")
+    n = F.when(_is_loss("mean_loss"), n)
     return losses.groupBy(*by).agg(
         as_long(F.sum("n_tokens")).alias("n_tokens"),
-        F.exp(F.sum(F.col("mean_loss") * n) / F.sum(n)).alias("perplexity"),
+        F.exp(F.sum(F.when(_is_loss("mean_loss"), F.col("mean_loss")) * n) / F.sum(n)).alias("perplexity"),
     )
 
 
@@ -103,9 +108,12 @@ def ngram_perplexity(train: DataFrame, val: DataFrame, n: int = 1) -> DataFrame:
 
 
 def best_checkpoint(log: DataFrame) -> DataFrame:
-    """Per run the saved step with the lowest ``eval_loss``, earliest on a tie."""
+    """Per run the saved step with the lowest ``eval_loss``, earliest on a tie.
+
+    A step without a loss, or with NaN, is never the best.
+    """
     return (
-        log.where("saved")
+        log.where(F.col("saved") & _is_loss("eval_loss"))
         .groupBy("run")
         .agg(F.min(F.struct("eval_loss", "step")).alias("best"))
         .select("run", F.col("best.step").alias("step"), F.col("best.eval_loss").alias("eval_loss"))
@@ -156,17 +164,23 @@ def side_by_side(
 ) -> DataFrame:
     """Replies of two runs to the same prompt, null where a run has none.
 
-    Both runs are read in one scan and met in one shuffle. ``n_a`` and ``n_b``
-    show a prompt answered more than once; make ``keys`` finer then.
+    A prompt answered more than once has a row for each of its replies, those of
+    both runs side by side in the order of their texts; ``n_a`` and ``n_b`` count
+    them. Both runs are read in one scan and met by one shuffle on ``keys``.
     """
     in_a, in_b = F.col("run") == a, F.col("run") == b
+    nth = F.row_number().over(Window.partitionBy(*keys, "run").orderBy("reply"))
+    every = Window.partitionBy(*keys)
     return (
         replies.where(in_a | in_b)
-        .groupBy(*keys)
+        .withColumn("_nth", nth)
+        .withColumns({"n_a": F.count_if(in_a).over(every), "n_b": F.count_if(in_b).over(every)})
+        .groupBy(*keys, "_nth")
         .agg(
             F.max(F.when(in_a, F.col("reply"))).alias("reply_a"),
             F.max(F.when(in_b, F.col("reply"))).alias("reply_b"),
-            F.count_if(in_a).alias("n_a"),
-            F.count_if(in_b).alias("n_b"),
+            F.max("n_a").alias("n_a"),
+            F.max("n_b").alias("n_b"),
         )
+        .drop("_nth")
     )

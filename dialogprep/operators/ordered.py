@@ -16,13 +16,7 @@ BLOCK = "_block"
 
 
 def has_long_groups(df: DataFrame, key: str, order: str, limit: int) -> bool:
-    """True if some key has more than ``limit`` rows.
-
-    Order values are distinct in a key, so none at or above ``limit`` settles
-    it, mostly from file statistics. Otherwise the keys are counted.
-    """
-    if df.where(beyond(order, limit)).limit(1).isEmpty():
-        return False
+    """True if some key has more than ``limit`` rows; order values may repeat or be null."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return not counts.where(F.col("n") > limit).limit(1).isEmpty()
 
@@ -36,6 +30,16 @@ def with_block(df: DataFrame, order: str, limit: int) -> DataFrame:
     return df.withColumn(BLOCK, F.floor(F.col(order) / limit).cast("bigint"))
 
 
+def join_null_safe(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which a null key meets a null key, as it does in a window."""
+    renamed = other.withColumnsRenamed({k: f"_other_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_other_{k}")) for k in keys]
+    condition = same[0]
+    for one in same[1:]:
+        condition = condition & one
+    return rows.join(renamed, condition).drop(*[f"_other_{k}" for k in keys])
+
+
 def before(key: str) -> "Window":
     """Frame over the earlier blocks of a key."""
     return (
@@ -64,7 +68,7 @@ def dense_index(df: DataFrame, key: str, order: str, limit: int, name: str = "i"
     w = Window.partitionBy(key, BLOCK).orderBy(order)
     return (
         blocked.withColumn("_rank", F.row_number().over(w))
-        .join(offsets, [key, BLOCK])
+        .transform(lambda rows: join_null_safe(rows, offsets, [key, BLOCK]))
         .withColumn(name, (F.col("_offset") + F.col("_rank") - 1).cast("bigint"))
         .drop("_rank", "_offset", BLOCK)
     )

@@ -39,9 +39,10 @@ def conversation_units(messages: Column, count: Callable[[Column], Column] = uni
 
 
 def with_units(convs: DataFrame, count: Callable[[Column], Column] = units) -> DataFrame:
-    """``(conv_id, n_units)``, the parts of a conversation added up."""
+    """``(conv_id, n_units)``, the parts of a conversation added up; it opens once."""
+    again = F.when(F.col("part") > 0, 1).otherwise(0) if "part" in convs.columns else F.lit(0)
     return (
-        convs.select("conv_id", conversation_units(F.col("messages"), count).alias("n_units"))
+        convs.select("conv_id", (conversation_units(F.col("messages"), count) - again).alias("n_units"))
         .groupBy("conv_id")
         .agg(as_long(F.sum("n_units")).alias("n_units"))
     )

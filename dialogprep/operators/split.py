@@ -20,7 +20,8 @@ def _bucket_offsets(keyed: DataFrame) -> DataFrame:
 
 
 def _keyed(df: DataFrame, seed: int, id_col: str) -> DataFrame:
-    key = shuffle_key(F.col(id_col), seed)
+    missing = F.raise_error(F.lit(f"{id_col} is null: rows without an id have no place in the order"))
+    key = F.when(F.col(id_col).isNull(), missing.cast("string")).otherwise(shuffle_key(F.col(id_col), seed))
     return df.withColumn("shuffle_key", key).withColumn("bucket", key_bucket(F.col("shuffle_key")))
 
 

@@ -427,7 +427,7 @@ FROM flags GROUP BY run""",
     "chat_history_stream_events": HISTORY,
     "prepare_stream_docs": f"""WITH {DOCS}, {TEXTS}
 SELECT conv_id, 0 AS part, text,
-  CASE WHEN CAST('0x' || substr(md5('42:' || conv_id), 1, 4) AS INTEGER) % 10000 < 500
+  CASE WHEN CAST('0x' || substr(md5('42:' || conv_id), 1, 15) AS BIGINT) < {int(0.05 * (1 << 60))}
     THEN 'val' ELSE 'train' END AS split
 FROM texts""",
     "jsonl_roundtrip": f"WITH {CHAT} {MESSAGES}",

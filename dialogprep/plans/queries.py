@@ -412,7 +412,7 @@ def role_audit_events(spark, d):
 
 def _flat_history(rows: DataFrame) -> DataFrame:
     said = F.transform("history", lambda m: F.concat(m["role"], F.lit(":"), m["content"]))
-    return rows.withColumn("history", F.array_join(said, "|"))
+    return rows.withColumn("history", F.array_join(said, "|")).drop("history_from")
 
 
 @query
@@ -435,7 +435,8 @@ def chat_history_exit(spark, d):
 
 def _stream(spark: SparkSession, d: str, name: str, spread_by: str, batch_bytes: int) -> DataFrame:
     schema = spark.read.parquet(f"{d}/{name}.parquet").schema
-    return read_stream(spark, d, schema, spread_by, f"{name}.parquet", batch_bytes)
+    # The pattern matches the table as one file and as a folder of files.
+    return read_stream(spark, f"{d}/{name}.parquet*", schema, spread_by, None, batch_bytes)
 
 
 @query

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dialogprep import schemas
@@ -17,8 +18,27 @@ DEFAULT = PrepareConfig()
 
 
 def read_dialogs(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet with one conversation per row; other columns are not read."""
-    return spread(spark.read.schema(schemas.DIALOGS).parquet(path), "conv_id")
+    """Parquet with one conversation per row; other columns are not read.
+
+    ``conv_id`` may be of any type. Without it, rows get an id from their content
+    and their number among equal rows.
+    """
+    found = spark.read.parquet(path)
+    if "conv_id" in found.columns:
+        return spread(found.select("conv_id", "dialog"), "conv_id")
+    return spread_ids(found.select("dialog"), "dialog")
+
+
+def spread_ids(rows: DataFrame, content: str) -> DataFrame:
+    """``conv_id`` from the content of a row and its number among equal rows.
+
+    Equal rows are interchangeable, so the ids do not depend on how the rows are
+    dealt out. The window reads the content's hash, not the content's order.
+    """
+    digest = F.xxhash64(F.to_json(F.struct(content)))
+    nth = F.row_number().over(Window.partitionBy("_digest").orderBy(F.lit(0)))
+    named = rows.withColumn("_digest", digest).withColumn("_nth", nth)
+    return named.select(F.xxhash64("_digest", "_nth").alias("conv_id"), *rows.columns)
 
 
 def read_turns(spark: SparkSession, path: str) -> DataFrame:
@@ -27,9 +47,10 @@ def read_turns(spark: SparkSession, path: str) -> DataFrame:
 
 
 def dialogs_from_text(texts: DataFrame, id_col: str, text_col: str, separator: str = "\n") -> DataFrame:
-    """Texts with one utterance per line as dialogues."""
+    """Texts with one utterance per line as dialogues; ``separator`` is plain text."""
+    quoted = re.escape(separator)
     return texts.select(
-        F.col(id_col).alias("conv_id"), F.split(text_col, separator).alias("dialog")
+        F.col(id_col).alias("conv_id"), F.split(text_col, quoted).alias("dialog")
     )
 
 
@@ -51,14 +72,17 @@ def turns_to_dialogs(turns: DataFrame, cfg: PrepareConfig = DEFAULT) -> DataFram
 def read_messages(spark: SparkSession, path: str | list[str], schema=schemas.CONVERSATION_LINES) -> DataFrame:
     """JSON lines of ``messages``; a malformed line fails the job.
 
-    Bare lines, without the id columns, get an id from their content and count
-    as whole conversations.
+    Bare lines, without the id columns, count as whole conversations. They get an
+    id from their content and their number among equal lines, so that repeated
+    conversations stay apart.
     """
     lines = spark.read.schema(schema).json(path, mode="FAILFAST")
-    content_id = F.xxhash64(F.to_json("messages"))
-    return lines.withColumns(
-        {"conv_id": F.coalesce("conv_id", content_id), "part": F.coalesce("part", F.lit(0))}
-    )
+    lines = lines.withColumn("part", F.coalesce("part", F.lit(0)))
+    bare = F.col("conv_id").isNull()
+    if lines.where(bare).limit(1).isEmpty():
+        return lines
+    named = spread_ids(lines.where(bare).drop("conv_id"), "messages").select(*lines.columns)
+    return lines.where(~bare).unionByName(named)
 
 
 def read_splits(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:

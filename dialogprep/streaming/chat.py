@@ -13,19 +13,18 @@ from dialogprep.operators.chat import MAX_HISTORY, classify
 
 OUTPUT = (
     "session bigint, segment bigint, pos bigint, seq bigint, role string, line string, "
-    "history array<struct<role:string,content:string>>, late boolean"
+    "history array<struct<role:string,content:string>>, history_from bigint, late boolean"
 )
 STATE = (
     "segment bigint, pos bigint, last_seq bigint, closed boolean, "
     "roles array<string>, lines array<string>"
 )
-ONE_DAY_MS = 24 * 60 * 60 * 1000
 
 
-def _folder(max_history: int, idle_ms: int):
+def _folder(max_history: int):
     """The state function. All it uses is local, so workers need no copy of this package."""
     taken = ["seq", "role", "line", "is_exit", "is_reset", "joins"]
-    columns = ["session", "segment", "pos", "seq", "role", "line", "history", "late"]
+    columns = ["session", "segment", "pos", "seq", "role", "line", "history", "history_from", "late"]
     rows_per_frame = 4096
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
@@ -33,9 +32,6 @@ def _folder(max_history: int, idle_ms: int):
         return pd.DataFrame(rows, columns=columns, dtype=object)
 
     def fold(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         session = int(key[0])
         if state.exists:
             segment, pos, last_seq, closed, roles, lines = state.get
@@ -48,7 +44,7 @@ def _folder(max_history: int, idle_ms: int):
         out = []
         for seq, role, line, is_exit, is_reset, joins in arrived:
             if last_seq is not None and seq <= last_seq:
-                out.append((session, None, None, seq, role, line, None, True))
+                out.append((session, None, None, seq, role, line, None, None, True))
             else:
                 last_seq = seq
                 if closed or is_exit:
@@ -56,17 +52,16 @@ def _folder(max_history: int, idle_ms: int):
                 elif is_reset:
                     segment, pos, history = segment + 1, 0, []
                 elif joins:
-                    if pos < max_history:
-                        history.append({"role": role, "content": line})
-                    so_far = list(history) if pos < max_history else None
-                    out.append((session, segment, pos, seq, role, line, so_far, False))
+                    if pos % max_history == 0:
+                        history = []
+                    history.append({"role": role, "content": line})
+                    out.append((session, segment, pos, seq, role, line, list(history), pos - pos % max_history, False))
                     pos += 1
             if len(out) == rows_per_frame:
                 yield frame(out)
                 out = []
         roles, lines = [m["role"] for m in history], [m["content"] for m in history]
         state.update((segment, pos, last_seq, closed, roles, lines))
-        state.setTimeoutDuration(idle_ms)
         if out:
             yield frame(out)
 
@@ -74,27 +69,27 @@ def _folder(max_history: int, idle_ms: int):
 
 
 def chat_history_stream(
-    log: DataFrame, max_history: int = MAX_HISTORY, idle_ms: int = ONE_DAY_MS
+    log: DataFrame, max_history: int = MAX_HISTORY
 ) -> DataFrame:
     """``operators.chat.chat_history`` with state kept per session.
 
     Rows of a micro-batch are folded in ``seq`` order, so one task holds what a
     session sent within the batch: read the log with a limit per batch
     (``streaming.sources.read_stream``). A row not above the last
-    ``seq`` seen comes out with ``late`` set and joins nothing. A session idle
-    for ``idle_ms`` is forgotten. State holds at most ``max_history`` lines:
-    later rows have a null ``history``, as in the batch form, and their
-    ``segment`` and ``pos`` still name it.
+    ``seq`` seen comes out with ``late`` set and joins nothing. No session is
+    forgotten: state holds its segment, position, last ``seq``, whether it is
+    closed, and one page of at most ``max_history`` lines. ``history`` and
+    ``history_from`` are those of the batch form.
     """
     return (
         classify(log)
         .groupBy("session")
         .applyInPandasWithState(
-            _folder(max_history, idle_ms),
+            _folder(max_history),
             OUTPUT,
             STATE,
             "append",
-            GroupStateTimeout.ProcessingTimeTimeout,
+            GroupStateTimeout.NoTimeout,
         )
     )
 

@@ -42,13 +42,14 @@ def want(rows, max_history=10**9):
     for session in {r[0] for r in rows}:
         own = sorted((r[1:] for r in rows if r[0] == session), key=lambda r: r[0])
         for segment, pos, seq, history in brute.fold(own):
-            out.add((session, segment, pos, seq, tuple(history) if pos < max_history else None))
+            first = pos - pos % max_history
+            out.add((session, segment, pos, seq, first, tuple(history[first:])))
     return out
 
 
 def got(df):
     return {
-        (r.session, r.segment, r.pos, r.seq, None if r.history is None else tuple((m.role, m.content) for m in r.history))
+        (r.session, r.segment, r.pos, r.seq, r.history_from, tuple((m.role, m.content) for m in r.history))
         for r in df.collect()
     }
 
@@ -66,6 +67,21 @@ def test_planted(spark):
     assert ["|".join(m.content for m in r.history) for r in rows] == ["hi", "hi|how are you", "again", "yo"]
 
 
+def test_pages_of_a_long_session(spark):
+    rows = [(1, i, "user", str(i)) for i in range(5000)]
+    folded = chat.chat_history(spark.createDataFrame(rows, schemas.CHAT_LOG), 1024)
+    assert folded.where(F.col("history").isNull()).isEmpty()
+    ends = folded.where((F.col("pos") % 1024 == 1023) | (F.col("pos") == 4999)).orderBy("pos").collect()
+    assert [m.content for r in ends for m in r.history] == [str(i) for i in range(5000)]
+
+
+def test_null_keys_and_orders_by_block(spark):
+    rows = [(None, 1, "user", "a"), (None, 5, "user", "b"), (1, None, "user", "c"), (1, 2, "user", "d"), (1, 9, "user", "e"), (2, 1, "user", "f"), (2, 1, "user", "f")]
+    log = spark.createDataFrame(rows, schemas.CHAT_LOG)
+    short, long = (sorted(map(repr, chat.fold_log(log, n).collect())) for n in (65536, 2))
+    assert short == long and len(short) == 7
+
+
 def stream_of(spark, path, *files):
     for rows in files:
         spark.createDataFrame(rows, schemas.CHAT_LOG).coalesce(1).write.mode("append").parquet(path)

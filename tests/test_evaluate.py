@@ -110,3 +110,16 @@ def test_role_audit(spark, block_rows):
         "broken_alternation": (2 + 1 + 7, 3),
         "not_ending_on_reply": (3, 3),
     }
+
+
+def test_missing_losses_have_no_weight_and_never_win(spark):
+    losses = spark.createDataFrame([("r", 10, 2.0), ("r", 90, None), ("r", 5, float("nan"))], "run string, n_tokens bigint, mean_loss double")
+    assert evaluate.perplexity(losses).first().perplexity == pytest.approx(math.exp(2.0))
+    log = spark.createDataFrame([("r", 1, 2.0, True), ("r", 2, None, True), ("r", 3, float("nan"), True)], "run string, step bigint, eval_loss double, saved boolean")
+    assert evaluate.best_checkpoint(log).first().step == 1
+
+
+def test_side_by_side_keeps_every_reply(spark):
+    replies = spark.createDataFrame([("a", 0, "x"), ("a", 0, "y"), ("b", 0, "z")], "run string, prompt_id int, reply string")
+    got = {(r.reply_a, r.reply_b, r.n_a, r.n_b) for r in evaluate.side_by_side(replies, "a", "b").collect()}
+    assert got == {("x", "z", 2, 1), ("y", None, 2, 1)}

@@ -134,3 +134,16 @@ def test_command_line(spark, small, tmp_path, capsys):
     main(["evaluate", "--losses", str(tmp_path / "losses"), "--replies", str(tmp_path / "raw"), "--compare", "stopped", "rambling"])
     shown = capsys.readouterr().out
     assert "<bos><start_of_turn>user" in shown and "steps_per_epoch" in shown and "looping_replies" in shown
+
+
+def test_rows_without_ids_stay_apart(spark, tmp_path):
+    bare = spark.createDataFrame([([("user", "hi"), ("model", "yo")],)] * 10, "messages array<struct<role:string,content:string>>")
+    bare.write.json(str(tmp_path / "bare"))
+    assert tables.read_messages(spark, str(tmp_path / "bare")).select("conv_id").distinct().count() == 10
+    spark.createDataFrame([(["hello", "there"],)] * 40, "dialog array<string>").write.parquet(str(tmp_path / "dialogs"))
+    assert prepare_corpus(spark, str(tmp_path / "dialogs"), str(tmp_path / "out")) == {"kept": 40, "train": 38, "val": 2}
+
+
+def test_separator_is_plain_text(spark):
+    texts = spark.createDataFrame([(1, "ab|cd")], "id bigint, text string")
+    assert tables.dialogs_from_text(texts, "id", "text", "|").first().dialog == ["ab", "cd"]

@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from dialogprep.plans.oracle import ORACLES
+from dialogprep.plans.queries import QUERIES
 
 TABLES = ("conversations", "documents", "events", "labels")
 
@@ -23,14 +25,16 @@ def rows(columns, data):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry.queries().items()
+    assert ORACLES.items() <= entry.oracle_sql().items()
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 14
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, small, name):
     df = entry.queries()[name](spark, small)
     got = rows(df.columns, [tuple(r) for r in df.collect()])

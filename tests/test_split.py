@@ -66,3 +66,14 @@ def test_leaks_and_remainder(spark):
 def test_counts(spark):
     got = S.prepare_counts(spark.range(120), S.fixed_holdout_split(conversations(spark, 100)))
     assert {r.stage: r.conversations for r in got.collect()} == {"loaded": 120, "kept": 100, "train": 95, "val": 5}
+
+
+def test_hash_share_is_not_biased_and_null_ids_are_refused(spark):
+    from dialogprep.functions.hashing import in_hash_share
+    from dialogprep.operators.split import shuffle_position
+
+    for share in (0.05, 0.5):
+        n = spark.range(400_000).where(in_hash_share(F.col("id"), 42, share)).count()
+        assert abs(n / 400_000 - share) < 0.0025
+    with pytest.raises(Exception, match="is null"):
+        shuffle_position(spark.createDataFrame([(None,), (1,)], "conv_id bigint")).collect()
