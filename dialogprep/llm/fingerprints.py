@@ -24,7 +24,7 @@ INVERSE = pow(STEP, -1, 1 << 64)
 def fingerprint(many: list[str]) -> np.ndarray:
     """A row of WIDE * 8 + LIKE bytes for each text.
 
-    A text is the multiset of its paragraphs, which end at line ends; empty ones count for nothing. The first
+    A text is the multiset of its paragraphs, which end at line ends; the empty text has one, an empty one. The first
     WIDE numbers of a paragraph are its BLAKE2b digest. The others are a sum of their own, over the paragraph's
     3-word shingles (all its words, where it has fewer): each adds 1 or -1 to one part that its hash names.
     All sums are modular, so the order of paragraphs does not matter, and two fingerprints can be added and
@@ -33,7 +33,7 @@ def fingerprint(many: list[str]) -> np.ndarray:
     out = np.zeros((len(many), WIDE * 8 + LIKE), dtype=np.uint8)
     wide, doc = [], []
     for i, text in enumerate(many):
-        own = [hashlib.blake2b(p.encode(), digest_size=WIDE * 8).digest() for p in text.split("\n") if p]
+        own = [hashlib.blake2b(p.encode(), digest_size=WIDE * 8).digest() for p in text.split("\n")]
         wide += own
         doc += [i] * len(own)
     sums = np.zeros((len(many), WIDE), dtype=np.uint64)

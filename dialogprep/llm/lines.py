@@ -50,14 +50,14 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5)
     shared = repeats.groupBy("d").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
     shared = shared.where(F.col("n") >= min_docs).select("d", "keeper")
     lost = repeats.join(shared, "d").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-    lost = lost.groupBy(F.col("doc_id").alias("lost_id")).agg(F.collect_set("d").alias("lost"))
+    lost = lost.groupBy(F.col("doc_id").alias("__lost_id")).agg(F.collect_set("d").alias("__lost"))
 
     own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    found = docs.select(*own).join(lost, F.col("doc_id").eqNullSafe(F.col("lost_id")), "left")
+    found = docs.select(*own).join(lost, F.col("doc_id").eqNullSafe(F.col("__lost_id")), "left")
     key = lambda line: line_key(line)
-    stays = lambda line: (F.length(key(line)) < min_chars) | ~F.array_contains(F.col("lost"), F.unhex(F.sha2(key(line), 256)))
+    stays = lambda line: (F.length(key(line)) < min_chars) | ~F.array_contains(F.col("__lost"), F.unhex(F.sha2(key(line), 256)))
     found = found.withColumn("__lines", F.split(text, "\n", -1))
-    found = found.withColumn("__kept", F.when(F.col("lost").isNull(), F.col("__lines")).otherwise(F.filter("__lines", stays)))
+    found = found.withColumn("__kept", F.when(F.col("__lost").isNull(), F.col("__lines")).otherwise(F.filter("__lines", stays)))
     n_lines = F.size("__lines").cast("long")
     return found.select(
         *[F.array_join("__kept", "\n").alias(c) if c == "text" else F.col(c) for c in own],

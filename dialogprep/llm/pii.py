@@ -167,10 +167,10 @@ def sanitise(docs: DataFrame) -> DataFrame:
     Overlapping spans become one, named by the first. Telling terms are generalised to ``<term>``. A null text
     stays null; a text without spans stays as it is.
     """
-    spans = find_spans(docs).select(F.col("doc_id").alias("s_id"), F.col("text_hash").alias("s_hash"), _all_spans().alias("s_spans")).where(F.size("s_spans") > 0)
-    spans = spans.dropDuplicates(["s_id", "s_hash"])
-    joined = docs.join(spans, docs["doc_id"].eqNullSafe(F.col("s_id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("s_hash")), "left")
-    masked = F.when(F.col("s_spans").isNull(), docs["text"]).otherwise(_masked(docs["text"], F.col("s_spans")))
+    spans = find_spans(docs).select(F.col("doc_id").alias("__s_id"), F.col("text_hash").alias("__s_hash"), _all_spans().alias("__s_spans")).where(F.size("__s_spans") > 0)
+    spans = spans.dropDuplicates(["__s_id", "__s_hash"])
+    joined = docs.join(spans, docs["doc_id"].eqNullSafe(F.col("__s_id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("__s_hash")), "left")
+    masked = F.when(F.col("__s_spans").isNull(), docs["text"]).otherwise(_masked(docs["text"], F.col("__s_spans")))
     return joined.select(*[masked.alias(c) if c == "text" else docs[c] for c in docs.columns])
 
 
