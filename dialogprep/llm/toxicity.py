@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialogprep.llm.common import chunks, held_out, texts
+from dialogprep.sources.storage import stage
 
 #: Signs that stand for letters. "*" hides a vowel.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "*": "aeiou", "€": "e", "£": "l"}
@@ -37,6 +38,7 @@ for _c, _i in SYMBOL.items():
 
 #: The classifier learns from about so many labelled rows, chosen by a hash, whatever the input's size.
 LABELLED_ROWS = 20_000
+HASHES = 1 << 60
 #: Word features kept, with the least number of documents and the least chi-square for each.
 FEATURES, LEAST_DOCS, LEAST_CHI2 = 4000, 8, 12.0
 REMEMBERED = 1 << 18
@@ -182,17 +184,17 @@ def learn(docs: DataFrame, labels: DataFrame) -> Scorer:
     """The character model of all texts, and a classifier of about LABELLED_ROWS labelled rows not held out.
 
     A null label teaches nothing; of several labels of one id, the greatest counts. The ids of the chosen rows
-    are broadcast, as their number is bounded. Features are first chosen by chi-square from counts of
+    are broadcast, as their number is bounded, and the rows are written once, as they are read three times. Features are first chosen by chi-square from counts of
     documents, summed before they are shuffled; only those that speak for a label of 1 are kept, so a long
     text is not taken for clean because it is long. Without labels every score is near 0.
     """
     scorer = Scorer(learn_characters(docs))
     wanted = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     share = LABELLED_ROWS / max(1, wanted.count())
-    chosen = wanted.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * share))
+    chosen = wanted.where(F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)) < int(HASHES * min(1.0, share)))
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic").dropDuplicates(["text", "toxic"])
-    rows = rows.repartition(max(2, min(64, docs.sparkSession.sparkContext.defaultParallelism)))
+    rows = stage(rows.repartition(max(2, min(64, docs.sparkSession.sparkContext.defaultParallelism))), "labelled")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, limit=8 << 20):
