@@ -31,8 +31,8 @@ NEAR_TERMS, NEAR_CHARS = 3, 120
 DISCLOSURE, SUPPORT = 0.9, 3
 
 
-def places(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, value>> of all matches, in code points, end exclusive."""
+def places(text: Column, pattern: str, keep: Callable[[Column], Column] | None = None) -> Column:
+    """array<struct<start, end, value>> of all matches, or of those to keep, in code points, end exclusive."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
@@ -40,7 +40,9 @@ def places(text: Column, pattern: str) -> Column:
     def step(at: Column, x: Column) -> Column:
         start = at["at"] + x["gap"]
         end = start + F.length(x["value"])
-        return F.struct(end.alias("at"), F.array_append(at["out"], F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))).alias("out"))
+        out = F.array_append(at["out"], F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))
+        out = out if keep is None else F.when(keep(x["value"]), out).otherwise(at["out"])
+        return F.struct(end.alias("at"), out.alias("out"))
 
     steps = F.zip_with(found, F.slice(gaps, 1, F.greatest(F.size(found), F.lit(0))), lambda v, g: F.struct(v.alias("value"), g.alias("gap")))
     start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
@@ -80,7 +82,7 @@ def _spans_of(text: Column, rank: int, kind: str) -> Column:
         entity = F.concat(F.lit(kind + ":"), ENTITY[kind](s["value"]))
         return F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind"), entity.alias("entity"))
 
-    found = F.filter(places(text, PATTERNS[kind]), lambda s: VALID[kind](s["value"]))
+    found = places(text, PATTERNS[kind], VALID[kind])
     empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,entity:string>>")
     return F.when(F.contains(text, F.lit(NEEDS[kind])), F.transform(found, span)).otherwise(empty)
 
