@@ -32,13 +32,6 @@ EVAL_PROMPTS = (
     "Do you ever get nervous before a big meeting?",
 )
 
-ASSISTANT_PHRASES = (
-    "As an AI",
-    "I can help you",
-    "I don't have feelings",
-    "I'm here to help",
-)
-
 NO_REPEAT_NGRAM = 3
 REPLY_CAP = 60
 CHAT_REPLY_CAP = 80
@@ -54,6 +47,17 @@ KEEP_CHECKPOINTS = 2
 # --- End of fixed values --------------------------------------------------
 
 
+# What a persona should not say; audits take any other list.
+ASSISTANT_PHRASES = (
+    "as an AI",
+    "as a language model",
+    "I am programmed to",
+    "I can help you",
+    "I'm here to help",
+    "how may I assist",
+    "I don't have feelings",
+)
+
 # More messages than any conversation has.
 WHOLE = 1 << 30
 

@@ -89,6 +89,23 @@ def labeled_chars(messages: Column, tpl: ChatTemplate = DEFAULT_TEMPLATE) -> Col
     )
 
 
+def trained_chars(
+    messages: Column, tpl: ChatTemplate = DEFAULT_TEMPLATE, with_bos: Column | bool = True
+) -> Column:
+    """For each character of the rendered text, whether a reply span covers it."""
+
+    def flags(value: bool, n: Column | int) -> Column:
+        return F.array_repeat(F.lit(value), n)
+
+    def of_message(m: Column) -> Column:
+        head = F.lit(len(tpl.turn_open) + 1) + F.length(m["role"])
+        body = F.length(strip(m["content"])) + len(tpl.turn_close)
+        reply = F.concat(flags(False, head), flags(True, body), flags(False, 1))
+        return F.when(is_reply(m, tpl), reply).otherwise(flags(False, head + body + 1))
+
+    return F.concat(flags(False, F.length(_bos(tpl, with_bos))), F.flatten(F.transform(messages, of_message)))
+
+
 def starts_with_one_bos(text: Column, tpl: ChatTemplate = DEFAULT_TEMPLATE) -> Column:
     return F.startswith(text, F.lit(tpl.bos)) & ~F.startswith(text, F.lit(tpl.bos * 2))
 

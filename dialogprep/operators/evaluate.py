@@ -50,9 +50,13 @@ def run_trend(losses: DataFrame, order: str = "run_no") -> DataFrame:
 # --- An n-gram model as a Spark-native source of losses --------------------
 
 
-def _word_pairs(convs: DataFrame) -> DataFrame:
-    """``(conv_id, prev, w)``: every word with the one before; messages end in ``</s>``."""
-    pairs = convs.select("conv_id", F.explode("messages.content").alias("text")).select(
+def _word_pairs(convs: DataFrame, roles: Sequence[str] = ()) -> DataFrame:
+    """``(conv_id, prev, w)``: every word with the one before; messages end in ``</s>``.
+
+    With ``roles``, only the messages of those roles.
+    """
+    messages = F.filter("messages", lambda m: m["role"].isin(*roles)) if roles else F.col("messages")
+    pairs = convs.select("conv_id", F.explode(messages["content"]).alias("text")).select(
         "conv_id", F.split("text", " ").alias("ws")
     )
     # Outer, so that no inferred filter on the array splits every text again.
@@ -71,11 +75,15 @@ def ngram_losses(
     val: DataFrame,
     n: int = 1,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    replies_only: bool = False,
+    tpl: ChatTemplate = DEFAULT_TEMPLATE,
 ) -> DataFrame:
     """Mean loss per ``val`` conversation under an add-one model of ``train``.
 
     ``n`` is 1 or 2. One word more than seen stands for all unknown words. The
-    counts are staged: they give the totals and are looked up.
+    counts are staged: they give the totals and are looked up. With
+    ``replies_only`` just the words of replies are scored; the model still
+    learns from all.
     """
     if n not in (1, 2):
         raise ValueError("n must be 1 or 2")
@@ -84,7 +92,8 @@ def ngram_losses(
         _word_pairs(train).groupBy(*gram).agg(F.count(F.lit(1)).alias("seen")), "ngrams"
     )
     vocabulary = grams.agg(F.count_distinct("w") + 1).scalar()
-    facts = lookup(_word_pairs(val).select("conv_id", *gram), grams, gram, "conv_id", max_broadcast_rows)
+    scored = _word_pairs(val, tpl.reply_roles if replies_only else ())
+    facts = lookup(scored.select("conv_id", *gram), grams, gram, "conv_id", max_broadcast_rows)
     if n == 1:
         total = grams.agg(F.sum("seen")).scalar()
     else:

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# About 100 MB of short rows, the most that is sent to every executor.
+from dialogprep.sources.storage import stage
+
+# The most that is sent to every executor.
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 100 << 20
 
 # A key is hot above 1/HOT_SHARE of the rows, so there are fewer than that many.
 HOT_SHARE = 1000
@@ -16,12 +19,24 @@ SALTS = 64
 def keep_keys(
     df: DataFrame, ids: DataFrame, key: str, max_broadcast_rows: int = MAX_BROADCAST_ROWS
 ) -> DataFrame:
-    """Rows of ``df`` whose key is in ``ids``, which is broadcast if counted small."""
-    if ids.count() <= max_broadcast_rows:
+    """Rows of ``df`` whose key is in ``ids``, which is broadcast if measured small."""
+    ids = stage(ids, "keys")
+    if fits_broadcast(ids, max_broadcast_rows):
         ids = F.broadcast(ids)
     return df.join(ids, key, "left_semi")
 
 
+def fits_broadcast(
+    table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> bool:
+    """Is the table small in rows and in bytes? Pass a staged one, as it is read for this."""
+    fixed = 16 * len(table.columns)
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in table.schema if f.dataType.typeName() == "string"]
+    size = F.sum(sum(texts, F.lit(fixed).cast("bigint")))
+    n, held = table.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    return n <= max_rows and held <= max_bytes
+
+
 def lookup(
     facts: DataFrame,
     table: DataFrame,
@@ -31,11 +46,11 @@ def lookup(
 ) -> DataFrame:
     """``facts`` with the columns of ``table``, whose ``keys`` are unique.
 
-    A table within ``max_broadcast_rows`` (counted; pass a staged table) is
-    broadcast. A larger one is shuffled, with the hot keys of ``facts`` spread
-    over ``SALTS`` tasks by a hash of ``spread_by``.
+    A table within ``max_broadcast_rows`` and ``MAX_BROADCAST_BYTES`` (measured;
+    pass a staged table) is broadcast. A larger one is shuffled, with the hot
+    keys of ``facts`` spread over ``SALTS`` tasks by a hash of ``spread_by``.
     """
-    if table.count() <= max_broadcast_rows:
+    if fits_broadcast(table, max_broadcast_rows):
         return facts.join(F.broadcast(table), keys, "left")
 
     counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))

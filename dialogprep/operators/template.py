@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from dialogprep.config import DEFAULT_TEMPLATE, ChatTemplate
 from dialogprep.functions.columns import as_long
 from dialogprep.functions.template import (
+    ids_start_with_one_bos,
     labeled_chars,
     render_chat,
     reply_spans,
     starts_with_one_bos,
+    trained_chars,
 )
 
 
@@ -83,19 +85,22 @@ def context_reply_pairs(convs: DataFrame, tpl: ChatTemplate = DEFAULT_TEMPLATE)
     )
 
 
-def label_fraction(convs: DataFrame, tpl: ChatTemplate = DEFAULT_TEMPLATE) -> DataFrame:
-    """Trained-on share of each row, in characters."""
-    total = F.length(render_chat(F.col("messages"), False, tpl, F.col("part") == 0))
-    return convs.select(
-        "conv_id",
-        "part",
-        labeled_chars(F.col("messages"), tpl).alias("labeled_chars"),
-        as_long(total).alias("total_chars"),
-    ).withColumn("fraction", F.col("labeled_chars") / F.col("total_chars"))
+def label_fraction(
+    convs: DataFrame, tpl: ChatTemplate = DEFAULT_TEMPLATE, replies_only: bool = True
+) -> DataFrame:
+    """Trained-on share of each row, in characters; all of them without ``replies_only``."""
+    total = as_long(F.length(render_chat(F.col("messages"), False, tpl, F.col("part") == 0)))
+    rows = convs.select("conv_id", "part", "messages", total.alias("total_chars"))
+    labeled = labeled_chars(F.col("messages"), tpl) if replies_only else F.col("total_chars")
+    return rows.select("conv_id", "part", labeled.alias("labeled_chars"), "total_chars").withColumn(
+        "fraction", F.col("labeled_chars") / F.col("total_chars")
+    )
 
 
-def label_total(convs: DataFrame, tpl: ChatTemplate = DEFAULT_TEMPLATE) -> DataFrame:
-    rows = label_fraction(convs, tpl)
+def label_total(
+    convs: DataFrame, tpl: ChatTemplate = DEFAULT_TEMPLATE, replies_only: bool = True
+) -> DataFrame:
+    rows = label_fraction(convs, tpl, replies_only)
     return rows.agg(
         as_long(F.sum("labeled_chars")).alias("labeled_chars"),
         as_long(F.sum("total_chars")).alias("total_chars"),
@@ -105,3 +110,34 @@ def label_total(convs: DataFrame, tpl: ChatTemplate = DEFAULT_TEMPLATE) -> DataF
 def bos_check(texts: DataFrame, tpl: ChatTemplate = DEFAULT_TEMPLATE) -> DataFrame:
     """Adds ``one_bos``: does the text open with exactly one BOS?"""
     return texts.withColumn("one_bos", F.coalesce(starts_with_one_bos(F.col("text"), tpl), F.lit(False)))
+
+
+def token_bos_check(tokens: DataFrame, bos_id: int) -> DataFrame:
+    """Adds ``one_bos``: do the token ids in ``ids`` open with exactly one BOS?"""
+    return tokens.withColumn("one_bos", F.coalesce(ids_start_with_one_bos(F.col("ids"), bos_id), F.lit(False)))
+
+
+def token_mask(
+    tokens: DataFrame, tpl: ChatTemplate = DEFAULT_TEMPLATE, replies_only: bool = True
+) -> DataFrame:
+    """Adds ``assistant_masks``, 1 for each token that is trained on, and their ``labeled_ids``.
+
+    ``tokens`` holds ``conv_id, part, messages`` and what the user's own tokenizer made of the rendered
+    text: ``ids`` and ``offsets array<struct<start, end>>``, character offsets with the end exclusive. A token
+    that touches a trained-on span counts; one without characters, such as a marker put in, does not.
+    Without ``replies_only`` every token counts.
+    """
+    if replies_only:
+        trained = trained_chars(F.col("messages"), tpl, F.col("part") == 0)
+        rows = tokens.withColumn("_trained", trained)
+        touched = F.transform(
+            "offsets",
+            lambda o: F.exists(
+                F.slice("_trained", (o["start"] + 1).cast("int"), (o["end"] - o["start"]).cast("int")), lambda c: c
+            ).cast("int"),
+        )
+    else:
+        rows, touched = tokens, F.transform("ids", lambda _: F.lit(1))
+    masked = rows.withColumn("assistant_masks", touched)
+    kept = F.filter(F.arrays_zip("ids", "assistant_masks"), lambda t: t["assistant_masks"] == 1)
+    return masked.withColumn("labeled_ids", kept["ids"]).drop("_trained")

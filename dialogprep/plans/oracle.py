@@ -7,6 +7,8 @@ instead of offsets.
 
 from __future__ import annotations
 
+from dialogprep.config import ASSISTANT_PHRASES, EVAL_PROMPTS, TURN_CLOSE, TURN_OPEN
+
 # Python's \s spelled out in ASCII, for RE2.
 WS = (
     r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
@@ -14,7 +16,13 @@ WS = (
 )
 UNIT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 
-OPEN, CLOSE = "'<start_of_turn>'", "'<end_of_turn>'"
+
+def text(value: str) -> str:
+    """A string literal."""
+    return "'" + value.replace("'", "''") + "'"
+
+
+OPEN, CLOSE = text(TURN_OPEN), text(TURN_CLOSE)
 
 
 def clean(x: str) -> str:
@@ -79,6 +87,18 @@ spans AS (
   FROM placed WHERE role = 'model'
 )"""
 
+PIECES = """
+pieces AS (
+  SELECT conv_id, piece, k, CASE piece WHEN '<bos>' THEN 2 ELSE unicode(piece) END AS id
+  FROM (
+    SELECT conv_id, unnest(p) AS piece, unnest(range(len(p))) AS k
+    FROM (
+      SELECT conv_id, regexp_extract_all('<bos>' || string_agg(seg, '' ORDER BY i), '(?s).{1,5}') AS p
+      FROM seg GROUP BY conv_id
+    )
+  )
+)"""
+
 ORDERED = """
 heads AS (SELECT conv_id, count(*) AS n_messages FROM msgs GROUP BY conv_id),
 ordered AS (
@@ -144,18 +164,18 @@ ranked AS (
 
 PAIRS = f"""{ORDERED},
 words AS (
-  SELECT split, conv_id, i, unnest(ws) AS w, unnest(range(len(ws))) AS n_th
-  FROM (SELECT conv_id, i, string_split(content, ' ') || ['</s>'] AS ws FROM msgs) JOIN parted USING (conv_id)
+  SELECT split, conv_id, i, role, unnest(ws) AS w, unnest(range(len(ws))) AS n_th
+  FROM (SELECT conv_id, i, role, string_split(content, ' ') || ['</s>'] AS ws FROM msgs) JOIN parted USING (conv_id)
 ),
 pairs AS (
-  SELECT split, conv_id, w, coalesce(lag(w) OVER (PARTITION BY conv_id, i ORDER BY n_th), '<s>') AS prev FROM words
+  SELECT split, conv_id, role, w, coalesce(lag(w) OVER (PARTITION BY conv_id, i ORDER BY n_th), '<s>') AS prev FROM words
 ),
 uni AS (SELECT w, count(*) AS c FROM pairs WHERE split = 'train' GROUP BY w),
 bi AS (SELECT prev, w, count(*) AS c FROM pairs WHERE split = 'train' GROUP BY prev, w),
 ctx AS (SELECT prev, count(*) AS c FROM pairs WHERE split = 'train' GROUP BY prev),
 size AS (SELECT sum(c) AS n, count(*) + 1 AS v FROM uni),
 uni_loss AS (
-  SELECT conv_id, -ln((coalesce(uni.c, 0) + 1) / (size.n + size.v)) AS loss
+  SELECT conv_id, role, -ln((coalesce(uni.c, 0) + 1) / (size.n + size.v)) AS loss
   FROM pairs LEFT JOIN uni USING (w), size WHERE split = 'val'
 ),
 bi_loss AS (
@@ -258,11 +278,7 @@ SPACED = (
     "translate(replace(regexp_replace(text, '([.,!?;:])', ' \\1', 'g'), 'and', 'I ’ m “ s ”'), chr(10), '　')"
 )
 
-PROMPTS = """(VALUES (0, 'Hey, how''s your day going?'),
-  (1, 'What do you think about pineapple on pizza?'),
-  (2, 'I had a rough week honestly.'),
-  (3, 'Got any plans for the weekend?'),
-  (4, 'Do you ever get nervous before a big meeting?')) p(prompt_id, prompt)"""
+PROMPTS = f"(VALUES {', '.join(f'({i}, {text(p)})' for i, p in enumerate(EVAL_PROMPTS))}) p(prompt_id, prompt)"
 
 MESSAGES = "SELECT conv_id, i, role, content FROM msgs"
 HISTORY = chat_history(exits=False)
@@ -321,6 +337,21 @@ l AS (SELECT sum("end" - "start") AS l FROM spans)
 SELECT CAST(l AS BIGINT) AS labeled_chars, CAST(t AS BIGINT) AS total_chars,
   round(CAST(l AS DOUBLE) / CAST(t AS DOUBLE), 6) AS fraction
 FROM t, l""",
+    "label_total_full": f"""WITH {DOCS}, {SEGMENTS},
+t AS (SELECT CAST(sum(length(seg)) + 5 * count(DISTINCT conv_id) AS BIGINT) AS t FROM seg)
+SELECT t AS labeled_chars, t AS total_chars, CAST(1 AS DOUBLE) AS fraction FROM t""",
+    "token_mask": f"""WITH {DOCS}, {SPANS}, {PIECES},
+masked AS (
+  SELECT conv_id, k, id, EXISTS (
+    SELECT 1 FROM spans s WHERE s.conv_id = p.conv_id AND s."start" < 5 * k + length(piece) AND 5 * k < s."end"
+  ) AS m FROM pieces p
+)
+SELECT conv_id, 0 AS part, count(*) AS n_tokens, count(*) FILTER (m) AS labeled_tokens,
+  string_agg(CASE WHEN m THEN '1' ELSE '0' END, '' ORDER BY k) AS mask,
+  string_agg(id, ',' ORDER BY k) FILTER (m) AS labeled_ids
+FROM masked GROUP BY conv_id""",
+    "token_bos_check": f"""WITH {CHAT}, {SEGMENTS}, {PIECES}
+SELECT conv_id, sum(length(piece)) <= 1000 AS one_bos FROM pieces GROUP BY conv_id""",
     "context_reply_pairs": f"""WITH {CHAT}, {SPANS}
 SELECT x.conv_id, 0 AS part, x.reply,
   '<bos>' || string_agg(y.seg, '' ORDER BY y.i) || {OPEN} || 'model' || chr(10) AS prompt,
@@ -371,6 +402,9 @@ SELECT run_no, n_tokens, round(p, 6) AS perplexity, round(p - lag(p) OVER (ORDER
     "ngram_losses": f"""WITH {DOCS}, {PAIRS}
 SELECT '1-gram' AS run, conv_id, count(*) AS n_tokens, round(avg(loss), 6) AS mean_loss
 FROM uni_loss GROUP BY conv_id""",
+    "ngram_losses_replies": f"""WITH {DOCS}, {PAIRS}
+SELECT '1-gram' AS run, conv_id, count(*) AS n_tokens, round(avg(loss), 6) AS mean_loss
+FROM uni_loss WHERE role = 'model' GROUP BY conv_id""",
     "ngram_perplexity": ngram("uni_loss", "1-gram"),
     "bigram_perplexity": ngram("bi_loss", "2-gram"),
     "best_checkpoint": f"WITH {TRAINING_LOG} SELECT run, step, eval_loss FROM ranked WHERE by_loss = 1",
@@ -404,8 +438,7 @@ SELECT run, count(*) AS replies, CAST(sum(len(g)) AS BIGINT) AS ngrams,
 FROM grams GROUP BY run""",
     "assistant_voice": f"""WITH {DOCS}, {REPLIES},
 flags AS (
-  SELECT run, contains(lower(reply), 'as an ai') OR contains(lower(reply), 'i can help you')
-    OR contains(lower(reply), 'i don''t have feelings') OR contains(lower(reply), 'i''m here to help') AS f
+  SELECT run, {" OR ".join(f"contains(lower(reply), {text(p.lower())})" for p in ASSISTANT_PHRASES)} AS f
   FROM replies
 )
 SELECT run, count(*) AS replies, count(*) FILTER (f) AS flagged,

@@ -25,6 +25,7 @@ from dialogprep.streaming.sources import BATCH_BYTES, STATELESS_BATCH_BYTES, rea
 
 CFG = PrepareConfig()
 BANDS = [(lo, hi) for lo in (1, 2, 20) for hi in (200, 500, 2000)]
+BOS_ID = 2
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -278,6 +279,43 @@ def label_total(spark, d):
     return template.label_total(doc_convs(spark, d)).withColumn("fraction", F.round("fraction", 6))
 
 
+@query
+def label_total_full(spark, d):
+    """Trained on whole sequences."""
+    return template.label_total(doc_convs(spark, d), replies_only=False).withColumn("fraction", F.round("fraction", 6))
+
+
+def _five_char_tokens(texts: DataFrame) -> DataFrame:
+    """A stand-in for a tokenizer: pieces of five characters, BOS is one. Adds ids and offsets."""
+    pieces = texts.withColumn("pieces", F.regexp_extract_all("text", F.lit("(?s).{1,5}"), F.lit(0)))
+    ids = F.transform("pieces", lambda p: F.when(p == BOS, BOS_ID).otherwise(F.ascii(p)))
+    offsets = F.transform("pieces", lambda p, k: F.struct((k * 5).alias("start"), (k * 5 + F.length(p)).alias("end")))
+    return pieces.select("*", ids.alias("ids"), offsets.alias("offsets")).drop("pieces")
+
+
+@query
+def token_mask(spark, d):
+    text = template.render_chat(F.col("messages"), with_bos=F.col("part") == 0)
+    masked = template.token_mask(_five_char_tokens(doc_convs(spark, d).withColumn("text", text)))
+    return masked.select(
+        "conv_id",
+        "part",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.size("labeled_ids").cast("bigint").alias("labeled_tokens"),
+        F.array_join(F.transform("assistant_masks", lambda m: m.cast("string")), "").alias("mask"),
+        F.array_join(F.transform("labeled_ids", lambda i: i.cast("string")), ",").alias("labeled_ids"),
+    )
+
+
+@query
+def token_bos_check(spark, d):
+    """Texts over 1,000 characters get a second BOS."""
+    texts = template.render(chat_convs(spark, d))
+    doubled = F.when(F.length("text") > 1000, F.concat(F.lit(BOS), "text")).otherwise(F.col("text"))
+    tokens = _five_char_tokens(texts.withColumn("text", doubled))
+    return template.token_bos_check(tokens, BOS_ID).select("conv_id", "one_bos")
+
+
 @query
 def context_reply_pairs(spark, d):
     return template.context_reply_pairs(chat_convs(spark, d))
@@ -327,10 +365,10 @@ def run_trend(spark, d):
     return trend.withColumns({c: F.round(c, 6) for c in ("perplexity", "change")})
 
 
-def _ngram_losses(spark, d, n):
+def _ngram_losses(spark, d, n, replies_only=False):
     both = doc_split(spark, d)
     is_val = F.col("split") == "val"
-    return evaluate.ngram_losses(both.where(~is_val), both.where(is_val), n)
+    return evaluate.ngram_losses(both.where(~is_val), both.where(is_val), n, replies_only=replies_only)
 
 
 @query
@@ -338,6 +376,11 @@ def ngram_losses(spark, d):
     return _ngram_losses(spark, d, 1).withColumn("mean_loss", F.round("mean_loss", 6))
 
 
+@query
+def ngram_losses_replies(spark, d):
+    return _ngram_losses(spark, d, 1, replies_only=True).withColumn("mean_loss", F.round("mean_loss", 6))
+
+
 @query
 def ngram_perplexity(spark, d):
     losses = _ngram_losses(spark, d, 1)

@@ -5,6 +5,7 @@ import pytest
 
 from dialogprep.config import EVAL_PROMPTS, PrepareConfig
 from dialogprep.operators import audit, evaluate
+from dialogprep.operators.lookup import fits_broadcast
 
 SCHEMA = "conv_id bigint, part int, messages array<struct<role:string,content:string>>"
 
@@ -57,6 +58,19 @@ def test_ngram_losses(spark, n, broadcast):
         assert r.mean_loss == pytest.approx(sum(want[r.conv_id]) / len(want[r.conv_id]))
 
 
+def test_ngram_losses_of_replies(spark):
+    train, val = convs(spark, [["a b", "c"]]), convs(spark, [["z z z z", "c"]])
+    row = evaluate.ngram_losses(train, val, replies_only=True).first()
+    # c and </s>: 1 and 2 of 5 seen, 4 words and an unknown one
+    assert (row.n_tokens, row.mean_loss) == (2, pytest.approx(-(math.log(2 / 10) + math.log(3 / 10)) / 2))
+
+
+def test_broadcast_is_bounded_in_bytes(spark):
+    table = spark.createDataFrame([("x" * 1000, 1), (None, 2)], "w string, n bigint")
+    assert fits_broadcast(table) and not fits_broadcast(table, max_bytes=1000) and not fits_broadcast(table, max_rows=1)
+    assert fits_broadcast(table.limit(0), 0, 0)
+
+
 def test_checkpoints(spark):
     rows = [(200, 2.1, True), (400, 2.1, True), (600, 2.2, True), (100, 2.5, False), (300, 2.0, False)]
     log = spark.createDataFrame([("r", *r) for r in rows], "run string, step bigint, eval_loss double, saved boolean")

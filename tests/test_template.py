@@ -73,6 +73,36 @@ def test_bos(spark):
     assert [r.ok for r in checked] == [True, False, False, True]
 
 
+def test_token_mask(spark):
+    """Tokens across a border count; those without characters, or before any reply, do not."""
+    messages = [("user", "Hi"), ("model", "Yo"), ("user", "a"), ("assistant", "b \U0001f642")]
+    text = brute.render(messages)
+    cuts = [0, 0, 5, text.index("Yo") - 1, text.index("Yo") + 1, text.index("Yo") + 17, text.index("Yo") + 18, len(text)]
+    offsets = list(zip(cuts, cuts[1:]))
+    tokens = one(spark, messages).select(
+        "*", F.expr(f"array({','.join(str(10 + i) for i in range(len(offsets)))})").alias("ids"),
+        F.from_json(F.lit(str([{"start": a, "end": b} for a, b in offsets]).replace("'", '"')), "array<struct<start:bigint,end:bigint>>").alias("offsets"),
+    )
+    spans = template.span_rows(one(spark, messages)).collect()
+    want = [int(a < b and any(s.start < b and a < s.end for s in spans)) for a, b in offsets]
+    got = template.token_mask(tokens).first()
+    assert got.assistant_masks == want == [0, 0, 0, 1, 1, 0, 1]
+    assert got.labeled_ids == [10 + i for i, m in enumerate(want) if m]
+    assert template.token_mask(tokens, replies_only=False).first().assistant_masks == [1] * len(want)
+    assert "_trained" not in template.token_mask(tokens).columns
+
+
+def test_token_bos(spark):
+    ids = spark.createDataFrame([([2, 5],), ([2, 2],), ([5, 2],), ([2],), ([],), (None,)], "ids array<int>")
+    assert [r.one_bos for r in template.token_bos_check(ids, 2).collect()] == [True, False, False, True, False, False]
+
+
+def test_whole_sequences(spark):
+    df = one(spark, [("user", "Hi"), ("model", "Yo")])
+    row = template.label_fraction(df, replies_only=False).first()
+    assert row.labeled_chars == row.total_chars == len(template.render(df).first().text) and row.fraction == 1.0
+
+
 def test_text_is_rendered_once(spark):
     """One regex for the text and one for the spans."""
     df = one(spark, [("user", "Hi"), ("model", "Yo")])
