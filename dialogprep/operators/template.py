@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialogprep.config import DEFAULT_TEMPLATE, ChatTemplate
-from dialogprep.functions.columns import as_long
+from dialogprep.functions.columns import as_long, let
 from dialogprep.functions.template import (
     ids_start_with_one_bos,
     labeled_chars,
@@ -128,16 +128,18 @@ def token_mask(
     Without ``replies_only`` every token counts.
     """
     if replies_only:
-        trained = trained_chars(F.col("messages"), tpl, F.col("part") == 0)
-        rows = tokens.withColumn("_trained", trained)
-        touched = F.transform(
-            "offsets",
-            lambda o: F.exists(
-                F.slice("_trained", (o["start"] + 1).cast("int"), (o["end"] - o["start"]).cast("int")), lambda c: c
-            ).cast("int"),
+        # Bound once a row; as a column of its own it would be moved into the lambda and built for each token.
+        masks = let(
+            trained_chars(F.col("messages"), tpl, F.col("part") == 0),
+            lambda trained: F.transform(
+                "offsets",
+                lambda o: F.exists(
+                    F.slice(trained, (o["start"] + 1).cast("int"), (o["end"] - o["start"]).cast("int")), lambda c: c
+                ).cast("int"),
+            ),
         )
     else:
-        rows, touched = tokens, F.transform("ids", lambda _: F.lit(1))
-    masked = rows.withColumn("assistant_masks", touched)
+        masks = F.transform("ids", lambda _: F.lit(1))
+    masked = tokens.withColumn("assistant_masks", masks)
     kept = F.filter(F.arrays_zip("ids", "assistant_masks"), lambda t: t["assistant_masks"] == 1)
-    return masked.withColumn("labeled_ids", kept["ids"]).drop("_trained")
+    return masked.withColumn("labeled_ids", kept["ids"])

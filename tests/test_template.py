@@ -89,7 +89,6 @@ def test_token_mask(spark):
     assert got.assistant_masks == want == [0, 0, 0, 1, 1, 0, 1]
     assert got.labeled_ids == [10 + i for i, m in enumerate(want) if m]
     assert template.token_mask(tokens, replies_only=False).first().assistant_masks == [1] * len(want)
-    assert "_trained" not in template.token_mask(tokens).columns
 
 
 def test_token_bos(spark):
