@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from dialogprep.llm.common import chunks, texts
 from dialogprep.llm.ordered import range_of, range_starts
 
-#: A paragraph's vector has 4 parts modulo 2**64, which decide equality, and 256 parts modulo 2**8 for likeness.
+#: A paragraph's vector has 4 parts modulo 2**64, which decide equality, and 256 parts modulo 2**32 for likeness.
 WIDE = 4
 LIKE = 256
 SHINGLE = 3
@@ -22,7 +22,7 @@ INVERSE = pow(STEP, -1, 1 << 64)
 
 
 def fingerprint(many: list[str]) -> np.ndarray:
-    """A row of WIDE * 8 + LIKE bytes for each text.
+    """A row of WIDE * 8 + LIKE * 4 bytes for each text.
 
     A text is the multiset of its paragraphs, which end at line ends; the empty text has one, an empty one. The first
     WIDE numbers of a paragraph are its BLAKE2b digest. The others are a sum of their own, over the paragraph's
@@ -30,7 +30,7 @@ def fingerprint(many: list[str]) -> np.ndarray:
     All sums are modular, so the order of paragraphs does not matter, and two fingerprints can be added and
     subtracted like the multisets.
     """
-    out = np.zeros((len(many), WIDE * 8 + LIKE), dtype=np.uint8)
+    out = np.zeros((len(many), WIDE * 8 + LIKE * 4), dtype=np.uint8)
     wide, doc = [], []
     for i, text in enumerate(many):
         own = [hashlib.blake2b(p.encode(), digest_size=WIDE * 8).digest() for p in text.split("\n")]
@@ -44,7 +44,7 @@ def fingerprint(many: list[str]) -> np.ndarray:
         part = doc * LIKE + (hashes & np.uint64(LIKE - 1)).astype(np.int64)
         sign = 1 - 2 * ((hashes >> np.uint64(32)) & np.uint64(1)).astype(np.int64)
         like = np.bincount(part, weights=sign, minlength=len(many) * LIKE).astype(np.int64)
-        out[:, WIDE * 8 :] = (like & 255).astype(np.uint8).reshape(len(many), LIKE)
+        out[:, WIDE * 8 :] = like.astype("<u4").view(np.uint8).reshape(len(many), -1)
     return out
 
 
@@ -95,8 +95,9 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
     About the share of shingles, by number, that two texts have in common. Equal fingerprints have 1.
     """
-    square = lambda x: np.square(x[:, WIDE * 8 :].view(np.int8).astype(np.int64)).sum(axis=1)
-    apart, both = square(a - b), square(a) + square(b)
+    like = lambda x: np.ascontiguousarray(x[:, WIDE * 8 :]).view("<i4").astype(np.float64)
+    square = lambda x: np.square(x).sum(axis=1)
+    apart, both = square(like(a) - like(b)), square(like(a)) + square(like(b))
     near = np.clip(1 - apart / np.maximum(both, 1), 0, 1)
     near[both == 0] = 0
     near[(a == b).all(axis=1)] = 1
@@ -116,8 +117,8 @@ def removed(a: str, b: str) -> str:
 def _combined(a: str, b: str, sign: int) -> str:
     x, y = (np.frombuffer(bytes.fromhex(v), dtype=np.uint8) for v in (a, b))
     n = WIDE * 8
-    wide = x[:n].view("<u8") + y[:n].view("<u8") * np.array(sign).astype(np.uint64)
-    return (wide.tobytes() + (x[n:] + y[n:] * np.array(sign).astype(np.uint8)).tobytes()).hex()
+    parts = [x[at].view(kind) + y[at].view(kind) * np.array(sign).astype(kind) for at, kind in ((slice(n), "<u8"), (slice(n, None), "<u4"))]
+    return b"".join(p.tobytes() for p in parts).hex()
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:

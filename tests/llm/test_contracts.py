@@ -217,6 +217,34 @@ def test_fingerprints_add_up_in_any_order():
     assert both == turned == fingerprints.added(one, two) and fingerprints.removed(both, two) == one
 
 
+@pytest.mark.parametrize("copies", [100, 200, 256, 300])
+def test_likeness_of_a_line_that_stands_often(copies):
+    line = "one two three four five six"
+    text = "\n".join([line] * copies)
+    edited = "\n".join([line] * (copies // 2))
+    own, half, both = fingerprints.fingerprint([text, edited, text + "\n" + edited])
+    assert fingerprints.likeness(own[None], half[None])[0] == pytest.approx(0.8)
+    assert both.tobytes().hex() == fingerprints.added(own.tobytes().hex(), half.tobytes().hex())
+    assert own.tobytes().hex() == fingerprints.removed(both.tobytes().hex(), half.tobytes().hex())
+
+
+def test_likeness_of_millions_of_words():
+    rng = np.random.default_rng(2)
+    words = rng.integers(0, 50, 3_000_000).astype(str).tolist()
+    text, half = " ".join(words), " ".join(words[: len(words) // 2])
+    _, hashes = fingerprints.shingles([text])
+    _, fewer = fingerprints.shingles([half])
+
+    def sums(h):
+        sign = 1 - 2 * ((h >> np.uint64(32)) & np.uint64(1)).astype(np.int64)
+        return np.bincount((h & np.uint64(255)).astype(np.int64), weights=sign, minlength=256)
+
+    x, y = sums(hashes), sums(fewer)
+    want = 1 - np.square(x - y).sum() / (np.square(x).sum() + np.square(y).sum())
+    own, other = fingerprints.fingerprint([text, half])
+    assert fingerprints.likeness(own[None], other[None])[0] == pytest.approx(want)
+
+
 def test_grammar_round_trip_and_random_access():
     rng = np.random.default_rng(0)
     for ids in (np.zeros(999, int), np.arange(7), rng.integers(0, 5, 5000), np.array([9])):
