@@ -25,8 +25,8 @@ PATTERNS = {
 #: What a text must hold for a kind to be looked for.
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 WORD = r"[\p{L}\p{N}]{3,}"
-#: Terms on each side of a mention that count as its company, and the code points they are looked for in.
-NEAR_TERMS, NEAR_CHARS = 3, 120
+#: Parts that the rows of a term are dealt to, so that common ones are not one task's work.
+PARTS = 32
 #: Share of an entity's information that a term may give away, and the documents that must show it.
 DISCLOSURE, SUPPORT = 0.9, 3
 
@@ -87,61 +87,59 @@ def _spans_of(text: Column, rank: int, kind: str) -> Column:
     return F.when(F.contains(text, F.lit(NEEDS[kind])), F.transform(found, span)).otherwise(empty)
 
 
-def _company(text: Column, span: Column) -> Column:
-    """array<struct<term, start, end>>: the nearest terms on both sides of a mention, within its line."""
-    from_ = F.greatest(span["start"] - NEAR_CHARS, F.lit(0))
-    left = F.substring(text, from_ + 1, span["start"] - from_)
-    left = F.substring_index(left, "\n", -1)
-    right = F.substring_index(F.substring(text, span["end"] + 1, F.lit(NEAR_CHARS)), "\n", 1)
-    left_at, right_at = span["start"] - F.length(left), span["end"]
-    whole = lambda s, size, cut: ~((s["start"] == 0) & cut) & (s["end"] <= size)
-    before = F.filter(places(left, WORD), lambda s: whole(s, F.length(left), left_at > 0))
-    before = F.slice(before, F.greatest(F.size(before) - NEAR_TERMS + 1, F.lit(1)), NEAR_TERMS)
-    after = F.filter(places(right, WORD), lambda s: s["end"] < NEAR_CHARS)
-    after = F.slice(after, 1, NEAR_TERMS)
-    shift = lambda a, by: F.transform(a, lambda s: F.struct(F.lower(s["value"]).alias("term"), (s["start"] + by).alias("start"), (s["end"] + by).alias("end")))
-    return F.concat(shift(before, left_at), shift(after, right_at))
-
-
 def find_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, base, terms) of each row: spans of the four kinds, and of terms that disclose an entity.
 
-    A term near a mention of an entity is weighed by how many documents they share against how many each is in:
-    their pointwise mutual information as a share of the entity's own information, log2(N / n(entity)). It is 1
-    for a term that is found with the entity alone. From DISCLOSURE on, in SUPPORT documents at least, the term
-    gives the entity away, and its places near mentions of that entity become spans. Documents without personal
-    data thus never get a span. Terms are counted over all documents.
+    A term is weighed by how many documents it shares with an entity, anywhere in them, against how many each is
+    in: their pointwise mutual information as a share of the entity's own information, log2(N / n(entity)). It is
+    1 for a term that is found with the entity alone. From DISCLOSURE on, in SUPPORT documents at least, the term
+    gives the entity away by itself, so all its places in all documents become spans, in those without the
+    entity too. Terms are counted over all documents.
+
+    A document's entities meet its terms only where their counts allow it: with n(both) at most n(entity), a term
+    of more than n(entity) * (N / n(entity)) ** (1 - DISCLOSURE) documents cannot give the entity away.
 
     A null text is empty. Rows with the same id and text are found the same spans. An empty table gives an empty
     result. Spans of terms never overlap base spans.
     """
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("text")).select("doc_id", "text", F.xxhash64("text").alias("text_hash"), base_spans(F.col("text")).alias("base"))
-    near = F.transform("base", lambda s: F.struct(s["entity"].alias("entity"), _company(F.col("text"), s).alias("company")))
-    base = stage(rows.select("doc_id", "text_hash", "base", near.alias("near")), "base-spans")
-
-    mentions = base.where(F.size("near") > 0).select("doc_id", "text_hash", F.explode("near").alias("m"))
-    mentions = mentions.select("doc_id", "text_hash", "m.entity", F.explode("m.company").alias("t")).select("doc_id", "text_hash", "entity", "t.term", "t.start", "t.end")
-    of_doc = F.xxhash64("doc_id", "text_hash")
-    together = mentions.select(of_doc.alias("doc"), "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    together = together.where(F.col("n_both") >= SUPPORT)
-    entities = base.select(of_doc.alias("doc"), F.explode(F.array_distinct(F.transform("base", lambda s: s["entity"]))).alias("entity"))
-    entities = entities.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
-    terms = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    rows = docs.select("doc_id", text.alias("text")).select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    of_doc = F.xxhash64("doc_id", "text_hash").alias("doc")
+    base = stage(rows.select("doc_id", "text_hash", of_doc, base_spans(F.col("text")).alias("base")), "base-spans")
+
+    entities = base.select("doc", F.explode(F.array_distinct(F.transform("base", lambda s: s["entity"]))).alias("entity"))
+    n_entity = entities.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= SUPPORT)
+    entities = stage(_dealt_join(entities, n_entity, "entity").distinct(), "entities")
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
+    terms = rows.select(of_doc, F.explode(words).alias("term"))
+    n_term = terms.groupBy("term").agg(F.count("*").alias("n_term")).where(F.col("n_term") >= SUPPORT)
     n = max(2, docs.count())
-    known = together.join(entities, "entity").join(terms, "term")
+    most = F.col("n_entity") * F.pow(F.lit(float(n)) / F.col("n_entity"), F.lit(1 - DISCLOSURE)) * 1.000001
+    own = rows.select(of_doc, "text").join(entities.select("doc").distinct(), "doc", "left_semi").select("doc", F.explode(words).alias("term")).distinct()
+    bound = entities.agg(F.max(most)).first()[0]
+    own = _dealt_join(own, n_term.where(F.col("n_term") <= F.lit(float(bound or 0))), "term")
+    both = own.join(entities, "doc").where(F.col("n_term") <= most).groupBy("entity", "term", "n_entity", "n_term").agg(F.count("*").alias("n_both"))
     gain = F.log2(F.lit(float(n)) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    own = F.log2(F.lit(float(n)) / F.col("n_entity"))
-    telling = known.where((own > 0) & (gain >= DISCLOSURE * own)).select("entity", "term")
-    spans = mentions.join(telling, ["entity", "term"]).groupBy(F.col("doc_id").alias("t_id"), F.col("text_hash").alias("t_hash"))
-    spans = spans.agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("found"))
+    own_gain = F.log2(F.lit(float(n)) / F.col("n_entity"))
+    telling = stage(both.where((F.col("n_both") >= SUPPORT) & (own_gain > 0) & (gain >= DISCLOSURE * own_gain)).select("term").distinct(), "telling")
+    told = _dealt_join(terms, telling, "term").groupBy("doc").agg(F.collect_set("term").alias("own"))
+    spans = rows.select("doc_id", "text_hash", of_doc, "text").join(told, "doc")
+    found = places(F.col("text"), WORD, lambda v: F.array_contains("own", F.lower(v)))
+    spans = spans.select(F.col("doc_id").alias("t_id"), F.col("text_hash").alias("t_hash"), F.transform(found, lambda s: F.struct(s["start"], s["end"])).alias("found"))
+    spans = spans.dropDuplicates(["t_id", "t_hash"])
     joined = base.join(spans, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("text_hash") == F.col("t_hash")), "left")
     apart = F.filter("found", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
     empty = F.array().cast("array<struct<start:int,end:int>>")
     return joined.select("doc_id", "text_hash", "base", F.coalesce(apart, empty).alias("terms"))
 
 
+def _dealt_join(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """The rows, which have a ``doc``, whose key is known, with the columns of it; a key's rows go to PARTS tasks."""
+    part = F.pmod("doc", F.lit(PARTS)).cast("int").alias("part")
+    parts = known.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    return rows.select("*", part).join(parts, [key, "part"]).drop("part")
+
+
 def _listed(spans: Column) -> Column:
     """kind:start:end, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

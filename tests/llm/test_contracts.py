@@ -273,6 +273,16 @@ def test_pii_terms_and_masks(spark):
     assert "<email>" in text[0] and "Zanzibarius" not in text[0] and text[10] == rows[5][1]
 
 
+def test_pii_terms_of_the_whole_document_go_everywhere(spark):
+    rows = [(i, f"Zanzibarius Quux\n+1 555 010 9999{' and then some more' * 40}. The boat Marigoldy lies here") for i in range(5)]
+    rows += [(10, "A letter of Zanzibarius, without a number; Zanzibarius again")] + [(20 + i, f"plain text {i} and then some more. The boat lies here") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    text = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert not any(name in t for t in text.values() for name in ("Zanzibarius", "Quux", "Marigoldy", "555"))
+    assert text[0].startswith("<term> <term>\n<phone> and then some more") and text[0].endswith("The boat <term> lies here")
+    assert text[10] == "A letter of <term>, without a number; <term> again" and all(text[i] == t for i, t in rows if i >= 20)
+
+
 def test_toxic_words_are_restored_and_scored(spark):
     rng = random.Random(2)
     words = ["hello", "good", "stone", "water", "light", "number", "people", "morning"]
