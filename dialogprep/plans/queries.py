@@ -18,7 +18,7 @@ from dialogprep.operators import audit, chat, evaluate, prepare, sizing, split,
 from dialogprep.plans.corpus import split_corpus
 from dialogprep.sources import tables
 from dialogprep.sources.storage import fresh_path, spread, stage
-from dialogprep.streaming.chat import accepted, chat_history_stream
+from dialogprep.streaming.chat import chat_history_stream, settled
 from dialogprep.streaming.prepare import prepare_stream
 from dialogprep.streaming.sinks import drain
 from dialogprep.streaming.sources import BATCH_BYTES, STATELESS_BATCH_BYTES, read_stream
@@ -485,7 +485,7 @@ def _stream(spark: SparkSession, d: str, name: str, spread_by: str, batch_bytes:
 @query
 def chat_history_stream_events(spark, d):
     log = event_log(_stream(spark, d, "events", "user_id", BATCH_BYTES))
-    return _flat_history(accepted(drain(chat_history_stream(log), "chat")))
+    return _flat_history(settled(drain(chat_history_stream(log), "chat"), event_log(events(spark, d))))
 
 
 @query

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from dialogprep.operators.chat import MAX_HISTORY, classify
+from dialogprep.operators.chat import MAX_HISTORY, chat_history, classify
 
 OUTPUT = (
     "session bigint, segment bigint, pos bigint, seq bigint, role string, line string, "
@@ -100,3 +100,15 @@ def accepted(folded: DataFrame) -> DataFrame:
 
 def late_rows(folded: DataFrame) -> DataFrame:
     return folded.where("late").select("session", "seq", "role", "line")
+
+
+def settled(folded: DataFrame, log: DataFrame, max_history: int = MAX_HISTORY) -> DataFrame:
+    """The drained stream as ``operators.chat.chat_history`` of ``log``, the log it was read from, has it.
+
+    A late row may move each row of its session, so sessions with late rows are
+    folded again from the log; the others are as the stream folded them.
+    """
+    again = late_rows(folded).select("session").distinct()
+    kept = accepted(folded).join(again, "session", "left_anti")
+    repaired = chat_history(log.join(again, "session", "left_semi"), max_history)
+    return kept.unionByName(repaired.select(*[F.col(c).cast(kept.schema[c].dataType) for c in kept.columns]))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import brute
 from dialogprep import schemas
 from dialogprep.operators import chat
-from dialogprep.streaming.chat import accepted, chat_history_stream, late_rows
+from dialogprep.streaming.chat import accepted, chat_history_stream, late_rows, settled
 from dialogprep.streaming.sinks import drain
 
 PLANTED = [
@@ -106,3 +106,12 @@ def test_stream_sets_late_rows_apart(spark, tmp_path):
     assert {(r.seq, r.line) for r in late_rows(folded).collect()} == {(6, "again"), (2, "old")}
     last = accepted(folded).where(F.col("seq") == 7).first()
     assert [m.content for m in last.history] == ["a", "b", "c"]
+
+
+def test_stream_of_shuffled_files_equals_batch(spark, tmp_path):
+    rows = [*random_log(120), (99, 1, "user", "in"), (99, 2, "user", "order")]
+    random.Random(1).shuffle(rows)
+    files = [rows[i::4] for i in range(4)]
+    folded = drain(chat_history_stream(stream_of(spark, str(tmp_path / "log"), *files), max_history=4), "chat")
+    assert not late_rows(folded).isEmpty()
+    assert got(settled(folded, spark.createDataFrame(rows, schemas.CHAT_LOG), max_history=4)) == want(rows, 4)
