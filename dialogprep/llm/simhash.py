@@ -324,11 +324,14 @@ def _whole_keys(batches: Iterator[pa.RecordBatch], dense: int) -> Iterator[tuple
 
 
 def _links(key: np.ndarray, node: np.ndarray, prints: np.ndarray, home: np.ndarray, max_bits: int, dense: int) -> tuple[pa.Array, pa.Array]:
-    """Links within the keys of a slice. A link of a key's number with nothing says that the key is over-full."""
+    """Links within the keys of a slice. A link of a key's number with nothing says that the key is over-full.
+
+    Whether an over-full key has a member at home is not known here, as rows of it were let go.
+    """
     begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.concatenate([begin, [len(key)]]))
     some = (size > 1) & (np.add.reduceat(home.astype(np.int64), begin) > 0)
-    crowded, few = some & (size > dense), some & (size <= min(FEW, dense))
+    crowded, few = size > dense, some & (size <= min(FEW, dense))
     a, b = [], []
     keep = np.repeat(few, size)
     k, n, p, h = key[keep], node[keep], prints[keep], home[keep]

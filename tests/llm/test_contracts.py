@@ -8,6 +8,7 @@ import brute_llm as plain
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,6 +150,13 @@ def test_keys_meet_for_all_three_bit_errors():
     assert all(sets[0][1][i] & sets[1][0][i] and sets[1][1][i] & sets[0][0][i] for i in range(len(x)))
 
 
+def test_a_full_key_is_told_though_its_home_member_comes_last():
+    columns = [pa.array([7] * 10), pa.array(range(10)), simhash._binary(np.arange(10, dtype=np.uint64)[:, None]), pa.array([False] * 9 + [True])]
+    batch = pa.RecordBatch.from_arrays(columns, ["key", "node", "print", "home"])
+    told = [simhash._links(*own, simhash.MAX_BITS, 3) for own in simhash._whole_keys(iter([batch]), 3)]
+    assert [(a.to_pylist(), b.to_pylist()) for a, b in told] == [([7], [None])]
+
+
 def test_near_copies_of_0_8_go_and_others_stay(spark):
     rng = random.Random(4)
     rows = []
