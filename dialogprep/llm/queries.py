@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, one each, with the columns that their results are compared by."""
+"""The registered queries of the operators, one each, with the columns that their results are compared by."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialogprep.llm import bpe, fingerprints, grammar, langid, lines, neighbours, packing, pii, simhash, toxicity
+from dialogprep.llm import bpe, fingerprints, grammar, langid, lines, neighbours, packing, pii, runs, shards, simhash, toxicity, variants
 from dialogprep.llm.common import held_out, table
 from dialogprep.sources.storage import fresh_path
 
@@ -90,7 +90,57 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", (F.col("first") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """In a tenth of the documents, chosen by the id, the words from one on become repeats of the words there."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    docs = docs.withColumn("g", F.floor(h / 10)).withColumn("words", F.when(h % 10 == 0, words))
+    planted = F.expr("transform(words, (w, i) -> if(i < a, w, words[cast(a + (i - a) % p as int)]))")
+    docs = docs.withColumn("a", F.expr("if(size(words) > 0, g % size(words), null)")).withColumn("p", F.expr("1 + (size(words) - a) div (3 + g % 8)"))
+    return docs.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(F.array_join(planted, " ")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(_with_planted_runs(_documents(spark, sf_dir).select("doc_id", "text")))
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    top = found.withColumn("top", runs.longest())
+    return top.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("top.start").alias("start"),
+        F.col("top.length").alias("length"),
+        F.col("top.period").alias("period"),
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2(runs.collapsed(), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(variants.count_words(_documents(spark, sf_dir), min_chars=5, min_count=3, typo=97))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shards.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=16)
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return placed.select("doc_id", shards.size_of().alias("size"), crc.alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_byte_bpe, op3_fingerprints, op4_simhash, op5_language, op6_toxicity, op7_pii, op8_packing, op9_embedding_dedup, op10_token_files)
+    for f in (
+        op1_line_dedup,
+        op2_byte_bpe,
+        op3_fingerprints,
+        op4_simhash,
+        op5_language,
+        op6_toxicity,
+        op7_pii,
+        op8_packing,
+        op9_embedding_dedup,
+        op10_token_files,
+        op11_periodic_runs,
+        op12_spelling_variants,
+        op13_sharding,
+    )
 }

@@ -174,3 +174,97 @@ def op10_token_files(got, docs):
         want[doc_id] = (at, len(ids), crc(ids))
         at += len(ids)
     return differ({r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in got.itertuples()}, want)
+
+
+def cut_words(text: str | None) -> list[str]:
+    return [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
+
+
+def all_runs(words: list, min_words: int = 12) -> list[tuple]:
+    """(start, length, period), by comparing the words with themselves a period later."""
+    found: dict[tuple, int] = {}
+    n = len(words)
+    for q in range(1, n // 2 + 1):
+        start = None
+        for i in range(n - q + 1):
+            same = i + q < n and words[i] == words[i + q]
+            if same and start is None:
+                start = i
+            elif not same and start is not None:
+                if i - start + q >= max(min_words, 2 * q):
+                    found.setdefault((start, i - start + q), q)
+                start = None
+    return sorted((s, length, q) for (s, length), q in found.items())
+
+
+def op11_periodic_runs(got, docs):
+    want = {}
+    for doc_id, text in docs:
+        words = cut_words(text)
+        n, h = len(words), zlib.crc32(str(doc_id).encode())
+        g = h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i if i < a else a + (i - a) % p] for i in range(n)]
+        runs = all_runs(words)
+        lost = {i for s, length, q in runs for i in range(s + q, s + length)}
+        top = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=None)
+        kept = " ".join(w for i, w in enumerate(words) if i not in lost)
+        lines = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+        want[doc_id] = (len(runs), *(top or (None,) * 3), 1000 * top[1] // top[2] if top else None, sha(lines), sha(kept))
+    whole = lambda v: None if v is None or v != v else int(v)
+    told = {r.doc_id: (r.n_runs, *map(whole, (r.start, r.length, r.period, r.exponent_milli)), r.runs_sha256, r.collapsed_sha256) for r in got.itertuples()}
+    return differ(told, want)
+
+
+def edits(word: str, letters: str) -> set[str]:
+    cuts = [(word[:i], word[i:]) for i in range(len(word) + 1)]
+    out = {a + b[1:] for a, b in cuts if b} | {a + c + b for a, b in cuts for c in letters} | {a + c + b[1:] for a, b in cuts if b for c in letters}
+    return out - {word}
+
+
+def variants_of(counts: dict[str, int]) -> dict[str, tuple]:
+    letters = "".join(set("".join(counts)))
+    form, near = {}, {}
+    for word, n in counts.items():
+        others = [(-counts[x], x) for x in edits(word, letters) if x in counts]
+        best = min(others, default=None)
+        near[word] = len(others)
+        form[word] = best[1] if best and -best[0] >= 2 * n else None
+    out = {}
+    for word, n in counts.items():
+        root = word
+        while form[root]:
+            root = form[root]
+        out[word] = (form[word], root, n, near[word], counts.get(form[word]))
+    return out
+
+
+def op12_spelling_variants(got, docs):
+    counts: dict[str, int] = defaultdict(int)
+    for doc_id, text in docs:
+        for word in re.findall("[A-Za-z\u00C0-\u00FF]+", text or ""):
+            word = re.sub("[A-Z]", lambda m: m.group().lower(), word)
+            h = zlib.crc32(f"{doc_id}:{word}".encode())
+            if h % 97 == 0:
+                word = word[: h % len(word)] + word[h % len(word) + 1 :]
+            counts[word] += 1
+    want = variants_of({w: n for w, n in counts.items() if len(w) >= 5 and n >= 3})
+    some = lambda v: None if v is None or v != v else v
+    return differ({r.word: (some(r.form), r.root, r.n, r.n_near, some(r.form_n)) for r in got.itertuples()}, want)
+
+
+def op13_sharding(got, docs):
+    want = {d: (len((t or "").encode()) + 1, zlib.crc32((t or "").encode()), "rows") for d, t in docs}
+    if len(got) != len(docs) or got.grown_shard.notna().any():
+        return ("rows", len(got))
+    slots = defaultdict(list)
+    for r in got.itertuples():
+        slots[r.shard].append(r.slot)
+    if any(sorted(own) != list(range(len(own))) for own in slots.values()) or not set(slots) <= set(range(16)):
+        return ("slots", dict(slots))
+    counts = [len(slots[s]) for s in range(16)]
+    if max(counts) - min(counts) > 1:
+        return ("counts", counts)
+    return differ({r.doc_id: (r.size, r.text_crc32, r.law) for r in got.itertuples()}, want)
