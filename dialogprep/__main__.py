@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from dialogprep.config import PrepareConfig
 from dialogprep.operators import audit, evaluate, sizing, split, template
-from dialogprep.plans.corpus import prepare_corpus
+from dialogprep.operators.chat import chat_history
+from dialogprep.plans.corpus import fold_chat_stream, prepare_corpus, prepare_corpus_stream, stream_funnel
 from dialogprep.sources.tables import read_split_dir, require_inputs
 
 
@@ -19,15 +20,37 @@ def _show(title: str, df: DataFrame, n: int = 50) -> None:
     df.show(n, truncate=False)
 
 
-def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
-    cfg = PrepareConfig(
+def _config(args: argparse.Namespace) -> PrepareConfig:
+    return PrepareConfig(
         min_chars=args.min_chars,
         max_chars=args.max_chars,
         min_turns=args.min_turns,
         val_fraction=args.val_fraction,
         seed=args.seed,
     )
-    print(json.dumps(prepare_corpus(spark, args.source, args.target, args.layout, cfg)))
+
+
+def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
+    print(json.dumps(prepare_corpus(spark, args.source, args.target, args.layout, _config(args), with_funnel=True)))
+
+
+def _progress(args: argparse.Namespace) -> str:
+    return args.progress or f"{args.target.rstrip('/')}/_progress"
+
+
+def stream(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Dialogue files that have come since the last run."""
+    prepare_corpus_stream(spark, args.source, args.target, _progress(args), _config(args))
+    _show("conversations so far", stream_funnel(spark, args.target, _progress(args)))
+
+
+def chat(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Histories of a log, at once or of what has come since the last run."""
+    require_inputs(spark, [args.log])
+    if args.delay:
+        fold_chat_stream(spark, args.log, args.target, _progress(args), args.delay, args.idle_seconds)
+    else:
+        chat_history(spark.read.parquet(args.log), idle_seconds=args.idle_seconds).write.parquet(args.target)
 
 
 def inspect(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -70,17 +93,33 @@ def parser() -> argparse.ArgumentParser:
     jobs = top.add_subparsers(required=True)
     defaults = PrepareConfig()
 
-    job = jobs.add_parser("prepare", help="dialogues to split JSON lines")
-    job.add_argument("source")
-    job.add_argument("target")
+    def preparing(name: str, text: str) -> argparse.ArgumentParser:
+        job = jobs.add_parser(name, help=text)
+        job.add_argument("source")
+        job.add_argument("target")
+        job.add_argument("--min-chars", type=int, default=defaults.min_chars)
+        job.add_argument("--max-chars", type=int, default=defaults.max_chars)
+        job.add_argument("--min-turns", type=int, default=defaults.min_turns)
+        job.add_argument("--val-fraction", type=float, default=defaults.val_fraction)
+        job.add_argument("--seed", type=int, default=defaults.seed)
+        return job
+
+    job = preparing("prepare", "dialogues to split JSON lines")
     job.add_argument("--layout", choices=("dialogs", "turns"), default="dialogs")
-    job.add_argument("--min-chars", type=int, default=defaults.min_chars)
-    job.add_argument("--max-chars", type=int, default=defaults.max_chars)
-    job.add_argument("--min-turns", type=int, default=defaults.min_turns)
-    job.add_argument("--val-fraction", type=float, default=defaults.val_fraction)
-    job.add_argument("--seed", type=int, default=defaults.seed)
     job.set_defaults(run=prepare)
 
+    job = preparing("stream", "the same for files as they come; run it again for more")
+    job.add_argument("--progress", help="where the run left off; in the target by default")
+    job.set_defaults(run=stream)
+
+    job = jobs.add_parser("chat", help="chat log to histories")
+    job.add_argument("log")
+    job.add_argument("target")
+    job.add_argument("--delay", help="how late rows may come, as '1 hour': the log is a stream with a column ts")
+    job.add_argument("--idle-seconds", type=int, help="a longer pause starts a new page")
+    job.add_argument("--progress", help="where the run left off; in the target by default")
+    job.set_defaults(run=chat)
+
     for name, run, text in (
         ("inspect", inspect, "what training will see"),
         ("plan", plan, "how big a training run is"),

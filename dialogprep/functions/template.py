@@ -44,6 +44,10 @@ def render_chat(
     return F.concat(_bos(tpl, with_bos), body, F.lit(tail))
 
 
+#: Messages whose spans are gathered in one array that grows.
+SPAN_BLOCK = 128
+
+
 def is_reply(message: Column, tpl: ChatTemplate = DEFAULT_TEMPLATE) -> Column:
     return message["role"].isin(*tpl.reply_roles)
 
@@ -59,8 +63,12 @@ def reply_spans(
     marker trained never learns to stop. The newline after it stays out.
     """
     kind = "struct<at:bigint,spans:array<struct<start:bigint,end:bigint>>>"
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     close = len(tpl.turn_close)
 
+    def size(m: Column) -> Column:
+        return as_long(len(tpl.turn_open) + F.length(m["role"]) + 1 + F.length(strip(m["content"])) + close + 1)
+
     def step(acc: Column, m: Column) -> Column:
         start = as_long(acc["at"] + len(tpl.turn_open) + F.length(m["role"]) + 1)
 
@@ -73,11 +81,23 @@ def reply_spans(
 
         return let(as_long(start + F.length(strip(m["content"])) + close), move).cast(kind)
 
-    zero = F.struct(
-        as_long(F.length(_bos(tpl, with_bos))).alias("at"),
-        F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"),
-    ).cast(kind)
-    return F.aggregate(messages, zero, step, lambda acc: acc["spans"])
+    def within(block: Column, at: Column) -> Column:
+        return F.aggregate(block, F.struct(at.alias("at"), none.alias("spans")).cast(kind), step, lambda acc: acc["spans"])
+
+    # An array that grows is copied at each step, so spans are made block by block, from where each block begins.
+    def spans_of(blocks: Column) -> Column:
+        begins = F.aggregate(
+            blocks,
+            F.array(as_long(F.length(_bos(tpl, with_bos)))),
+            lambda acc, b: F.array_append(
+                acc, as_long(F.element_at(acc, -1) + F.aggregate(b, F.lit(0).cast("bigint"), lambda n, m: n + size(m)))
+            ),
+        )
+        return F.flatten(F.zip_with(blocks, F.slice(begins, F.lit(1), F.size(blocks)), within))
+
+    starts = F.when(F.size(messages) > 0, F.sequence(F.lit(1), F.size(messages), F.lit(SPAN_BLOCK)))
+    blocks = F.transform(starts, lambda at: F.slice(messages, at, F.lit(SPAN_BLOCK)))
+    return F.when(F.size(messages) > 0, let(blocks, spans_of)).when(messages.isNotNull(), none)
 
 
 def labeled_chars(messages: Column, tpl: ChatTemplate = DEFAULT_TEMPLATE) -> Column:

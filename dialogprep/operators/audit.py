@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dialogprep.config import (
     ASSISTANT_PHRASES,
@@ -22,10 +24,12 @@ from dialogprep.functions.text import (
     extract_reply,
     has_stop,
     ngram_counts,
+    plain_quotes,
     sounds_like_assistant,
     units,
 )
-from dialogprep.operators.ordered import BLOCK, before, has_long_groups, join_null_safe, with_block
+from dialogprep.operators.ordered import BLOCK, before, carry, has_long_groups, of_long_keys, with_block
+from dialogprep.sources.storage import stage
 
 DEFAULT = PrepareConfig()
 
@@ -76,6 +80,80 @@ def assistant_voice(
     )
 
 
+# Bytes of phrases that one automaton is made of; a larger table is scanned for in several.
+PHRASE_BYTES = 64 << 20
+
+
+def phrase_hits(replies: DataFrame, phrases: DataFrame, text: str = "reply", part_bytes: int = PHRASE_BYTES) -> DataFrame:
+    """The columns of ``replies`` and ``phrase``: a row for each different phrase of a table that a reply holds.
+
+    ``phrases`` has a column ``phrase``. Texts and phrases are compared with A-Z in lower case and with plain quotes, as
+    ``sounds_like_assistant`` does. All phrases are looked for in one scan of the replies: an Aho-Corasick automaton of
+    them is the state of each task, so the cost grows with the texts and the hits, not with the phrases. The
+    automaton is made of what was measured to be small; a table of more than ``part_bytes`` is split into parts,
+    each of which is scanned for. Null and empty phrases are in no text, a null text holds none.
+    """
+    known = phrases.select(_folded(F.col("phrase")).alias("phrase")).where(F.length("phrase") > 0).distinct()
+    known = stage(known, "phrases")
+    size = known.agg(F.sum(F.octet_length("phrase") + 64)).first()[0] or 0
+    parts = max(1, -(-size // part_bytes))
+    part = F.pmod(F.xxhash64("phrase"), F.lit(parts))
+    schema = T.StructType([*replies.schema.fields, T.StructField("phrase", T.StringType())])
+    named = "_folded_text"
+    texts = replies.withColumn(named, _folded(F.col(text)))
+    found = None
+    for i in range(parts):
+        own = [row["phrase"] for row in known.where(part == i).toLocalIterator()]
+        sent = replies.sparkSession.sparkContext.broadcast(own)
+        hits = texts.mapInArrow(_scanner(sent, named), schema)
+        found = hits if found is None else found.unionByName(hits)
+    return found
+
+
+def _folded(c: Column) -> Column:
+    return F.translate(plain_quotes(c), ascii_uppercase, ascii_lowercase)
+
+
+def _scanner(sent, column: str):  # noqa: ANN001
+    """The scan of a task. All it uses is local, so workers need no copy of this package."""
+
+    def scan(batches):  # noqa: ANN001, ANN202
+        import ahocorasick
+        import pyarrow as pa
+
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for i, phrase in enumerate(sent.value):
+            automaton.add_word(phrase, i)
+        automaton.make_automaton()
+        for batch in batches:
+            rows, which = [], []
+            for row, text in enumerate(batch.column(column).to_pylist() if len(sent.value) else []):
+                if text:
+                    own = sorted({i for _, i in automaton.iter(text)})
+                    rows += [row] * len(own)
+                    which += own
+            taken = batch.drop_columns([column]).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array([sent.value[i] for i in which], pa.string())], [*taken.schema.names, "phrase"])
+
+    return scan
+
+
+def assistant_voice_table(replies: DataFrame, phrases: DataFrame, by: Sequence[str] = ("run",), key: Sequence[str] = ("conv_id", "i")) -> DataFrame:
+    """``assistant_voice`` with the phrases of a table, and how many different ones each group has.
+
+    ``key`` names a reply within its group; rows of the same key are one reply.
+    """
+    hits = phrase_hits(replies.select(*by, *key, "reply"), phrases)
+    flagged = hits.groupBy(*by, *key).agg(F.lit(True).alias("flag"))
+    told = hits.groupBy(*by).agg(F.countDistinct("phrase").alias("phrases"))
+    counts = replies.select(*by, *key).distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("replies"))
+    flags = flagged.groupBy(*by).agg(F.count(F.lit(1)).alias("flagged"))
+    zero = F.lit(0).cast("bigint")
+    rows = counts.join(flags, list(by), "left").join(told, list(by), "left")
+    rows = rows.select(*by, "replies", F.coalesce("flagged", zero).alias("flagged"), F.coalesce("phrases", zero).alias("phrases"))
+    return rows.withColumn("rate", F.col("flagged") / F.col("replies"))
+
+
 def role_audit(
     turns: DataFrame,
     key: str = "conv_id",
@@ -91,12 +169,12 @@ def role_audit(
     """
     rows = turns.select(key, order, F.coalesce("role", F.lit("")).alias("role"))
     if has_long_groups(rows, key, order, cfg.block_rows):
-        rows = with_block(rows, order, cfg.block_rows)
-        last = rows.groupBy(key, BLOCK).agg(F.max_by("role", order).alias("_last"))
+        rows = with_block(rows, key, order, cfg.block_rows)
+        last = of_long_keys(rows).groupBy(key, BLOCK).agg(F.max_by("role", order).alias("_last"))
         carried = F.last("_last", ignorenulls=True).over(before(key))
         last = last.select(key, BLOCK, carried.alias("_carried"))
         lag = F.lag("role").over(Window.partitionBy(key, BLOCK).orderBy(order))
-        rows = join_null_safe(rows.withColumn("_lag", lag), last, [key, BLOCK])
+        rows = carry(rows.withColumn("_lag", lag), last, [key, BLOCK])
         previous = F.coalesce("_lag", "_carried")
     else:
         previous = F.lag("role").over(Window.partitionBy(key).orderBy(order))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -159,3 +160,116 @@ def pack_sequences(
     return packed.select("shard", F.inline_outer(F.arrays_zip("rows", "bins"))).select(
         "rows.conv_id", "rows.n_units", "shard", F.col("bins").alias("bin")
     )
+
+
+# Conversations that one task packs best-fit.
+BEST_FIT_SHARD = 16_384
+
+
+def best_fit(budget: int) -> Callable[[Sequence[int]], list[int]]:
+    """Gives the bin number of each size, in the order of the sizes: the fullest bin that holds it, else a new one.
+
+    All it uses is local, so workers need no copy of this package.
+    """
+    from heapq import heappop, heappush
+
+    leaves = 1 << budget.bit_length()
+
+    class RoomTree:
+        """Open bins by the room that is left in them: a segment tree over rooms counts the bins below each node."""
+
+        def __init__(self) -> None:
+            self.counts = [0] * (2 * leaves)
+            self.bins: dict[int, list[int]] = {}
+
+        def put(self, room: int, number: int) -> None:
+            heappush(self.bins.setdefault(room, []), number)
+            self.add(room, 1)
+
+        def take(self, size: int) -> tuple[int, int] | None:
+            """(room, bin) with the least room that holds ``size``, of several the first bin; it leaves the tree."""
+            at = size + leaves
+            while self.counts[at] == 0:
+                # what lies to the right of this node: its sibling, or that of the first node above that is a left child
+                while at & 1:
+                    at >>= 1
+                if at <= 1:
+                    return None
+                at += 1
+            while at < leaves:
+                at = 2 * at if self.counts[2 * at] else 2 * at + 1
+            self.add(at - leaves, -1)
+            return at - leaves, heappop(self.bins[at - leaves])
+
+        def add(self, room: int, n: int) -> None:
+            at = room + leaves
+            while at:
+                self.counts[at] += n
+                at >>= 1
+
+    def fit(sizes: Sequence[int]) -> list[int]:
+        tree, out, opened = RoomTree(), [], 0
+        for size in sizes:
+            found = tree.take(size) if size <= budget else None
+            room, number = found if found else (budget, opened)
+            opened += found is None
+            out.append(number)
+            if room > size:
+                tree.put(room - size, number)
+        return out
+
+    return fit
+
+
+def pack_best_fit(
+    lengths: DataFrame,
+    budget: int = TRAIN_MAX_UNITS,
+    shard: int = BEST_FIT_SHARD,
+    seed: int = SEED,
+) -> DataFrame:
+    """``pack_sequences`` by best-fit-decreasing: less waste, for a longer look at each shard.
+
+    The seeded order is cut into shards. In each, conversations are taken from
+    the longest to the shortest (ties by place) and go to the bin with the least room that holds
+    them. A conversation above the budget has a bin to itself.
+    """
+
+    fit = best_fit(budget)
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["n_units", "pos"], ascending=[False, True])
+        return rows.assign(bin=fit(rows["n_units"].tolist()))[["conv_id", "n_units", "shard", "bin"]]
+
+    rows = shuffle_position(lengths.select("conv_id", "n_units"), seed)
+    rows = rows.withColumn("shard", as_long(F.floor(F.col("pos") / shard)))
+    kind = lengths.schema["conv_id"].dataType.simpleString()
+    return rows.groupBy("shard").applyInPandas(pack, f"conv_id {kind}, n_units bigint, shard bigint, bin bigint")
+
+
+# --- Profiles that are stored and merged -----------------------------------
+
+# Rank error of a sketch of this size: about 1.65 %, with 99 % confidence.
+SKETCH_K = 200
+
+
+def length_sketches(lengths: DataFrame, by: Sequence[str], k: int = SKETCH_K) -> DataFrame:
+    """Per group a sketch of the lengths, of bounded size, to be stored and merged: a day's table is not read again."""
+    n = F.col("n_units")
+    return lengths.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("conversations"),
+        as_long(F.sum(n)).alias("units"),
+        F.max(n).alias("longest"),
+        F.kll_sketch_agg_bigint(as_long(n), F.lit(k)).alias("sketch"),
+    )
+
+
+def merged_profile(sketches: DataFrame, by: Sequence[str] = (), quantiles: Sequence[float] = (0.5, 0.9, 0.99)) -> DataFrame:
+    """``length_profile`` of any union of groups, from their sketches alone; quantiles are within the sketch's rank error."""
+    merged = sketches.groupBy(*by).agg(
+        as_long(F.sum("conversations")).alias("conversations"),
+        as_long(F.sum("units")).alias("units"),
+        F.kll_merge_agg_bigint("sketch").alias("sketch"),
+        F.max("longest").alias("longest"),
+    )
+    points = [F.kll_sketch_get_quantile_bigint("sketch", F.lit(float(q))).alias(f"p{int(q * 100)}") for q in quantiles]
+    return merged.select(*by, "conversations", "units", *points, "longest")

@@ -6,19 +6,22 @@ texts of the parts, joined in order, are the text of the conversation.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialogprep.config import DEFAULT_TEMPLATE, ChatTemplate
 from dialogprep.functions.columns import as_long, let
 from dialogprep.functions.template import (
     ids_start_with_one_bos,
+    is_reply,
     labeled_chars,
     render_chat,
     reply_spans,
+    segment,
     starts_with_one_bos,
     trained_chars,
 )
+from dialogprep.functions.text import strip
 
 
 def render(
@@ -60,22 +63,29 @@ def _inside(start, end):
 
 
 def labeled_text(convs: DataFrame, tpl: ChatTemplate = DEFAULT_TEMPLATE) -> DataFrame:
-    """The text under each span, cut out of the rendering by its offsets."""
-    return _texts_with_spans(convs, tpl).select(
-        "conv_id",
-        "part",
-        as_long(F.col("reply")).alias("reply"),
-        _inside(F.col("s.start"), F.col("s.end")).alias("labeled"),
+    """The text under each span of ``span_rows``: a reply as it is rendered, and its closing marker."""
+    replies = F.filter("messages", lambda m: is_reply(m, tpl))
+    texts = F.transform(replies, lambda m: F.concat(strip(m["content"]), F.lit(tpl.turn_close)))
+    return convs.select("conv_id", "part", F.posexplode(texts).alias("reply", "labeled")).select(
+        "conv_id", "part", as_long(F.col("reply")).alias("reply"), "labeled"
     )
 
 
-def context_reply_pairs(convs: DataFrame, tpl: ChatTemplate = DEFAULT_TEMPLATE) -> DataFrame:
+def context_reply_pairs(
+    convs: DataFrame, tpl: ChatTemplate = DEFAULT_TEMPLATE, max_turns: int | None = None
+) -> DataFrame:
     """One row per reply: everything said before it, then the reply.
 
     The text up to a span is exactly the prompt with the reply's turn opened,
     so the history is rendered once per row and cut, not once per reply. In a
     part after the first, the prompt continues the texts of the parts before.
+
+    With ``max_turns`` a prompt holds the last so many messages before the reply
+    and opens with BOS. Messages are rendered once, and a window of them slides
+    along the row: the result grows with the text, not with its square.
     """
+    if max_turns is not None:
+        return _windowed_pairs(convs, tpl, max_turns)
     return _texts_with_spans(convs, tpl).select(
         "conv_id",
         "part",
@@ -85,6 +95,35 @@ def context_reply_pairs(convs: DataFrame, tpl: ChatTemplate = DEFAULT_TEMPLATE)
     )
 
 
+def _windowed_pairs(convs: DataFrame, tpl: ChatTemplate, max_turns: int) -> DataFrame:
+    if max_turns < 1:
+        raise ValueError("max_turns must be positive")
+    # What a message looks like in a prompt, and as a completion if it is one.
+    rendered = F.transform(
+        "messages",
+        lambda m: F.struct(
+            segment(m, tpl).alias("text"),
+            F.when(is_reply(m, tpl), F.concat(strip(m["content"]), F.lit(tpl.turn_close))).alias("completion"),
+            m["role"].alias("role"),
+        ),
+    )
+
+    def pairs(rows: Column) -> Column:
+        def pair(row: Column, i: Column) -> Column:
+            seen = F.least(i, F.lit(max_turns))
+            window = F.slice(rows, i - seen + 1, seen)
+            opener = F.concat(F.lit(tpl.turn_open), row["role"], F.lit("\n"))
+            prompt = F.concat(F.lit(tpl.bos), F.array_join(F.transform(window, lambda r: r["text"]), ""), opener)
+            return F.when(row["completion"].isNotNull(), F.struct(prompt.alias("prompt"), row["completion"].alias("completion")))
+
+        return F.filter(F.transform(rows, pair), lambda p: p.isNotNull())
+
+    found = convs.select("conv_id", "part", F.posexplode_outer(let(rendered, pairs)).alias("reply", "p"))
+    return found.where(F.col("p").isNotNull()).select(
+        "conv_id", "part", as_long(F.col("reply")).alias("reply"), "p.prompt", "p.completion"
+    )
+
+
 def label_fraction(
     convs: DataFrame, tpl: ChatTemplate = DEFAULT_TEMPLATE, replies_only: bool = True
 ) -> DataFrame:
@@ -143,3 +182,25 @@ def token_mask(
     masked = tokens.withColumn("assistant_masks", masks)
     kept = F.filter(F.arrays_zip("ids", "assistant_masks"), lambda t: t["assistant_masks"] == 1)
     return masked.withColumn("labeled_ids", kept["ids"])
+
+
+def token_label_fraction(
+    tokens: DataFrame, tpl: ChatTemplate = DEFAULT_TEMPLATE, replies_only: bool = True
+) -> DataFrame:
+    """Trained-on share of each row, in tokens; ``tokens`` as ``token_mask`` takes them. A row without tokens has none."""
+    masked = token_mask(tokens, tpl, replies_only)
+    n = as_long(F.size("labeled_ids")).alias("labeled_tokens")
+    return masked.select("conv_id", "part", n, as_long(F.size("ids")).alias("total_tokens")).withColumn(
+        "fraction", F.try_divide(F.col("labeled_tokens"), F.col("total_tokens"))
+    )
+
+
+def token_label_total(
+    tokens: DataFrame, tpl: ChatTemplate = DEFAULT_TEMPLATE, replies_only: bool = True
+) -> DataFrame:
+    """``label_total`` in tokens."""
+    rows = token_label_fraction(tokens, tpl, replies_only)
+    return rows.agg(
+        as_long(F.sum("labeled_tokens")).alias("labeled_tokens"),
+        as_long(F.sum("total_tokens")).alias("total_tokens"),
+    ).withColumn("fraction", F.try_divide(F.col("labeled_tokens"), F.col("total_tokens")))

@@ -214,6 +214,27 @@ folded AS (
 )"""
 
 
+def chat_history_idle(idle_seconds: int) -> str:
+    """A pause longer than that starts a new page; pages hold 1,024 messages."""
+    return f"""WITH {chat_log(False)},
+timed AS (
+  SELECT l.session, l.seq, l.line, coalesce(epoch_us(e.ts) > max(epoch_us(e.ts)) OVER
+    (PARTITION BY l.session ORDER BY l.seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + {idle_seconds * 1_000_000}, false) AS pause
+  FROM lines l JOIN events e ON e.event_id = l.seq
+),
+stretches AS (
+  SELECT session, seq, count(*) FILTER (pause) OVER (PARTITION BY session ORDER BY seq ROWS UNBOUNDED PRECEDING) AS stretch FROM timed
+),
+placed AS (
+  SELECT f.*, row_number() OVER (PARTITION BY session, segment, stretch ORDER BY seq) - 1 AS since
+  FROM folded f JOIN stretches USING (session, seq)
+),
+paged AS (SELECT * EXCLUDE (since), pos - since % 1024 AS history_from FROM placed)
+SELECT *, array_to_string(list(role || ':' || line) OVER
+  (PARTITION BY session, segment, history_from ORDER BY seq ROWS UNBOUNDED PRECEDING), '|') AS history
+FROM paged"""
+
+
 def chat_history(exits: bool) -> str:
     return f"""WITH {chat_log(exits)}
 SELECT *, array_to_string(list(role || ':' || line) OVER
@@ -281,7 +302,39 @@ SPACED = (
 PROMPTS = f"(VALUES {', '.join(f'({i}, {text(p)})' for i, p in enumerate(EVAL_PROMPTS))}) p(prompt_id, prompt)"
 
 MESSAGES = "SELECT conv_id, i, role, content FROM msgs"
+def band_grid(source: str) -> str:
+    """Steps of running extremes, two turns at a time, against 10,000 bands."""
+    return f"""WITH {source}, {TURNS},
+run AS (
+  SELECT i, min(coalesce(length(content), -1)) OVER w AS low, max(coalesce(length(content), 2147483647)) OVER w AS high
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY i ROWS UNBOUNDED PRECEDING)
+),
+steps AS (
+  SELECT low, high, count(*) FILTER (i = 1) AS conversations, 2 * count(*) AS messages
+  FROM run WHERE i % 2 = 1 GROUP BY low, high
+),
+bands AS (SELECT lo, 25 * hi AS hi FROM range(100) a(lo), range(1, 101) b(hi))
+SELECT CAST(lo AS BIGINT) AS min_chars, CAST(hi AS BIGINT) AS max_chars,
+  CAST(coalesce(sum(conversations), 0) AS BIGINT) AS conversations, CAST(coalesce(sum(messages), 0) AS BIGINT) AS messages
+FROM bands LEFT JOIN steps ON low >= lo AND high <= hi GROUP BY lo, hi"""
+
+
+# Plain quotes, A-Z in lower case.
+FOLDED = """translate({0}, '’“”ABCDEFGHIJKLMNOPQRSTUVWXYZ', '''\"\"abcdefghijklmnopqrstuvwxyz')"""
+
+MASKED = """masked AS (
+  SELECT conv_id, k, id, EXISTS (
+    SELECT 1 FROM spans s WHERE s.conv_id = p.conv_id AND s."start" < 5 * k + length(piece) AND 5 * k < s."end"
+  ) AS m FROM pieces p
+)"""
+
 HISTORY = chat_history(exits=False)
+HISTORY_IDLE = chat_history_idle(86400)
+STREAMED = f"""WITH {DOCS}, {TEXTS}
+SELECT conv_id, 0 AS part, text,
+  CASE WHEN CAST('0x' || substr(md5('42:' || conv_id), 1, 15) AS BIGINT) < {int(0.05 * (1 << 60))}
+    THEN 'val' ELSE 'train' END AS split
+FROM texts"""
 
 ORACLES: dict[str, str] = {
     "clean_utterance_turns": f"SELECT conv_id, turn, {clean('text')} AS content FROM conversations",
@@ -358,6 +411,46 @@ SELECT x.conv_id, 0 AS part, x.reply,
   x.content || {CLOSE} AS completion
 FROM spans x JOIN seg y ON y.conv_id = x.conv_id AND y.i < x.i
 GROUP BY x.conv_id, x.reply, x.content""",
+    "context_reply_pairs_window": f"""WITH {CHAT}, {SPANS}
+SELECT x.conv_id, 0 AS part, x.reply,
+  '<bos>' || string_agg(y.seg, '' ORDER BY y.i) || {OPEN} || 'model' || chr(10) AS prompt,
+  x.content || {CLOSE} AS completion
+FROM spans x JOIN seg y ON y.conv_id = x.conv_id AND y.i < x.i AND y.i >= x.i - 4
+GROUP BY x.conv_id, x.reply, x.content""",
+    "token_label_fraction": f"""WITH {DOCS}, {SPANS}, {PIECES}, {MASKED}
+SELECT conv_id, 0 AS part, count(*) FILTER (m) AS labeled_tokens, count(*) AS total_tokens,
+  round(CAST(count(*) FILTER (m) AS DOUBLE) / count(*), 6) AS fraction
+FROM masked GROUP BY conv_id""",
+    "token_label_total": f"""WITH {DOCS}, {SPANS}, {PIECES}, {MASKED}
+SELECT count(*) FILTER (m) AS labeled_tokens, count(*) AS total_tokens,
+  round(CAST(count(*) FILTER (m) AS DOUBLE) / count(*), 6) AS fraction
+FROM masked""",
+    "length_band_grid": band_grid(CHAT_RAW),
+    "length_band_grid_docs": band_grid(DOC_RAW),
+    "length_sketches": f"""WITH {DOCS}, {LENGTHS},
+whole AS (SELECT count(*) AS conversations, CAST(sum(n_units) AS BIGINT) AS units, max(n_units) AS longest FROM lengths)
+SELECT whole.*, CAST(q AS BIGINT) AS quantile, true AS "within" FROM whole, (VALUES (50), (90), (99)) v(q)""",
+    "pack_best_fit": f"""WITH RECURSIVE {DOCS}, {TRAIN_LENGTHS},
+ranked AS (
+  SELECT conv_id, n_units, pos // 1024 AS shard, row_number() OVER (PARTITION BY pos // 1024 ORDER BY n_units DESC, pos) AS k
+  FROM train_order
+),
+fill AS (
+  SELECT shard, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS rooms, CAST(NULL AS BIGINT) AS conv_id,
+    CAST(NULL AS BIGINT) AS n_units, CAST(NULL AS BIGINT) AS bin
+  FROM ranked GROUP BY shard
+  UNION ALL
+  SELECT shard, k,
+    CASE WHEN spot IS NULL THEN list_append(rooms, greatest(1024 - n, 0))
+      ELSE list_transform(rooms, lambda r, i: CASE WHEN i = spot THEN r - n ELSE r END) END,
+    conv_id, n, CAST(coalesce(spot - 1, len(rooms)) AS BIGINT)
+  FROM (
+    SELECT f.shard, o.k, f.rooms, o.conv_id, o.n_units AS n,
+      list_position(f.rooms, list_min(list_filter(f.rooms, lambda r: r >= o.n_units))) AS spot
+    FROM fill f JOIN ranked o ON o.shard = f.shard AND o.k = f.k + 1
+  )
+)
+SELECT conv_id, n_units, shard, bin FROM fill WHERE k > 0""",
     "train_plan": f"""WITH {DOCS}, {ORDERED},
 e AS (SELECT count(*) AS examples FROM parted WHERE split = 'train'),
 s AS (SELECT examples, CAST(ceil(examples / 32) AS BIGINT) AS steps_per_epoch FROM e)
@@ -444,6 +537,19 @@ flags AS (
 SELECT run, count(*) AS replies, count(*) FILTER (f) AS flagged,
   round(CAST(count(*) FILTER (f) AS DOUBLE) / count(*), 6) AS rate
 FROM flags GROUP BY run""",
+    "assistant_voice_table": f"""WITH {DOCS}, {REPLIES},
+heads AS (
+  SELECT array_to_string(regexp_split_to_array(trim(text, ' '), ' +')[1:3], ' ') AS phrase FROM benchmark
+  UNION ALL SELECT array_to_string(regexp_split_to_array(trim(text, ' '), ' +')[1:3], ' ') FROM documents
+  UNION ALL VALUES {", ".join(f"({text(p)})" for p in ASSISTANT_PHRASES)}
+),
+phrases AS (SELECT DISTINCT {FOLDED.format("phrase")} AS phrase FROM heads WHERE length(phrase) >= 8),
+folded_replies AS (SELECT run, conv_id, i, {FOLDED.format("reply")} AS t FROM replies),
+hits AS (SELECT run, conv_id, i, phrase FROM folded_replies JOIN phrases ON contains(t, phrase)),
+per AS (SELECT run, count(DISTINCT (conv_id, i)) AS flagged, count(DISTINCT phrase) AS phrases FROM hits GROUP BY run)
+SELECT r.run, r.replies, coalesce(flagged, 0) AS flagged, coalesce(phrases, 0) AS phrases,
+  round(CAST(coalesce(flagged, 0) AS DOUBLE) / replies, 6) AS rate
+FROM (SELECT run, count(*) AS replies FROM replies GROUP BY run) r LEFT JOIN per USING (run)""",
     "role_audit": roles(
         "SELECT conv_id AS key, turn AS pos, role FROM conversations",
         "('user', 'model', 'assistant')",
@@ -458,11 +564,12 @@ FROM flags GROUP BY run""",
     "chat_history": HISTORY,
     "chat_history_exit": chat_history(exits=True),
     "chat_history_stream_events": HISTORY,
-    "prepare_stream_docs": f"""WITH {DOCS}, {TEXTS}
-SELECT conv_id, 0 AS part, text,
-  CASE WHEN CAST('0x' || substr(md5('42:' || conv_id), 1, 15) AS BIGINT) < {int(0.05 * (1 << 60))}
-    THEN 'val' ELSE 'train' END AS split
-FROM texts""",
+    "chat_history_ordered_stream_events": HISTORY,
+    "chat_history_idle_events": HISTORY_IDLE,
+    "chat_history_expiring_stream_events": HISTORY_IDLE,
+    "prepare_stream_docs": STREAMED,
+    "prepare_stream_restarted_docs": STREAMED,
+    "filter_funnel_observed": funnel(CHAT_RAW),
     "jsonl_roundtrip": f"WITH {CHAT} {MESSAGES}",
     "split_roundtrip": f"""WITH {DOCS}, {ORDERED}
 SELECT CASE split WHEN 'val' THEN 'validation' ELSE split END AS split, conv_id, n_messages FROM parted""",

@@ -12,15 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialogprep.config import BOS, EOS, ROLE_MODEL, TURN_CLOSE, TURN_OPEN, PrepareConfig
+from dialogprep import schemas
+from dialogprep.config import ASSISTANT_PHRASES, BOS, EOS, ROLE_MODEL, TURN_CLOSE, TURN_OPEN, PrepareConfig
 from dialogprep.functions.text import clean_utterance
 from dialogprep.operators import audit, chat, evaluate, prepare, sizing, split, template
-from dialogprep.plans.corpus import split_corpus
+from dialogprep.plans.corpus import prepare_corpus_stream, split_corpus, stream_funnel
 from dialogprep.sources import tables
 from dialogprep.sources.storage import fresh_path, spread, stage
-from dialogprep.streaming.chat import chat_history_stream, settled
+from dialogprep.streaming.chat import accepted, chat_history_stream, settled
+from dialogprep.streaming.ordered import STATE_STORE, chat_history_in_order, close_log
 from dialogprep.streaming.prepare import prepare_stream
-from dialogprep.streaming.sinks import drain
+from dialogprep.streaming.sinks import NO_DATA_BATCHES, advance, advanced, drain
 from dialogprep.streaming.sources import BATCH_BYTES, STATELESS_BATCH_BYTES, read_stream
 
 CFG = PrepareConfig()
@@ -75,7 +77,7 @@ def train_lengths(spark: SparkSession, d: str) -> DataFrame:
     return lengths.where(F.col("split") == "train").drop("split")
 
 
-def event_log(rows: DataFrame, exits: bool = False) -> DataFrame:
+def event_log(rows: DataFrame, *more: str, exits: bool = False) -> DataFrame:
     """Events as chat lines: errors reset, purchases reply, sign-ups may exit."""
     kind = F.col("event_type")
     line = F.when(kind == "error", "/reset")
@@ -86,6 +88,7 @@ def event_log(rows: DataFrame, exits: bool = False) -> DataFrame:
         F.col("event_id").alias("seq"),
         F.when(kind == "purchase", "model").otherwise("user").alias("role"),
         line.otherwise(kind).alias("line"),
+        *more,
     )
 
 
@@ -188,6 +191,24 @@ def length_band_sweep_docs(spark, d):
     return prepare.length_band_sweep(prepare.dialog_band_prefixes(dialogs(spark, d), BANDS), BANDS, CFG)
 
 
+GRID = [(lo, 25 * hi) for lo in range(100) for hi in range(1, 101)]
+
+
+def _grid(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(GRID, "min_chars bigint, max_chars bigint")
+
+
+@query
+def length_band_grid(spark, d):
+    """Ten thousand bands over the turn table."""
+    return prepare.length_band_grid(prepare.turn_staircases(turns(spark, d), CFG), _grid(spark))
+
+
+@query
+def length_band_grid_docs(spark, d):
+    return prepare.length_band_grid(prepare.dialog_staircases(dialogs(spark, d), CFG), _grid(spark))
+
+
 # --- Split ----------------------------------------------------------------
 
 
@@ -293,10 +314,14 @@ def _five_char_tokens(texts: DataFrame) -> DataFrame:
     return pieces.select("*", ids.alias("ids"), offsets.alias("offsets")).drop("pieces")
 
 
+def doc_tokens(spark: SparkSession, d: str) -> DataFrame:
+    text = template.render_chat(F.col("messages"), with_bos=F.col("part") == 0)
+    return _five_char_tokens(doc_convs(spark, d).withColumn("text", text))
+
+
 @query
 def token_mask(spark, d):
-    text = template.render_chat(F.col("messages"), with_bos=F.col("part") == 0)
-    masked = template.token_mask(_five_char_tokens(doc_convs(spark, d).withColumn("text", text)))
+    masked = template.token_mask(doc_tokens(spark, d))
     return masked.select(
         "conv_id",
         "part",
@@ -321,6 +346,23 @@ def context_reply_pairs(spark, d):
     return template.context_reply_pairs(chat_convs(spark, d))
 
 
+@query
+def context_reply_pairs_window(spark, d):
+    """Prompts of the last four messages."""
+    return template.context_reply_pairs(chat_convs(spark, d), max_turns=4)
+
+
+@query
+def token_label_fraction(spark, d):
+    fractions = template.token_label_fraction(doc_tokens(spark, d))
+    return fractions.withColumn("fraction", F.round("fraction", 6))
+
+
+@query
+def token_label_total(spark, d):
+    return template.token_label_total(doc_tokens(spark, d)).withColumn("fraction", F.round("fraction", 6))
+
+
 # --- Sizing ---------------------------------------------------------------
 
 
@@ -345,6 +387,28 @@ def pack_sequences(spark, d):
     return sizing.pack_sequences(train_lengths(spark, d))
 
 
+@query
+def pack_best_fit(spark, d):
+    return sizing.pack_best_fit(train_lengths(spark, d), shard=1024)
+
+
+@query
+def length_sketches(spark, d):
+    """Sketches of 64 parts of the corpus, stored, read back and merged; a sketch tells its number exactly, and quantiles nearly."""
+    path = fresh_path(spark, "sketches")
+    lengths = stage(sizing.with_units(doc_convs(spark, d)), "lengths")
+    parts = lengths.withColumn("day", F.pmod(F.xxhash64("conv_id"), F.lit(64)))
+    sizing.length_sketches(parts, ["day"]).write.parquet(path)
+    merged = sizing.merged_profile(spark.read.parquet(path)).first()
+    n, points = merged["conversations"], {q: merged[f"p{q}"] for q in (50, 90, 99)}
+    counts = [F.count_if(F.col("n_units") < v).alias(f"below_{q}") for q, v in points.items()]
+    counts += [F.count_if(F.col("n_units") <= v).alias(f"upto_{q}") for q, v in points.items()]
+    near = lambda q: (F.col(f"below_{q}") <= n * (q / 100 + 0.02)) & (F.col(f"upto_{q}") >= n * (q / 100 - 0.02))
+    told = [F.struct(F.lit(q).cast("bigint").alias("quantile"), near(q).alias("within")) for q in points]
+    whole = [F.lit(merged[c]).cast("bigint").alias(c) for c in ("conversations", "units", "longest")]
+    return lengths.agg(*counts).select(*whole, F.inline(F.array(*told)))
+
+
 # --- Evaluation -----------------------------------------------------------
 
 
@@ -437,6 +501,22 @@ def assistant_voice(spark, d):
     return rates.withColumn("rate", F.round("rate", 6))
 
 
+def phrase_table(spark: SparkSession, d: str) -> DataFrame:
+    """The library's own phrases, and the first three words of each item of the benchmark and of each document."""
+    words = lambda c: F.array_join(F.slice(F.split(F.btrim(c), " +"), 1, 3), " ")
+    own = spark.createDataFrame([(p,) for p in ASSISTANT_PHRASES], "phrase string")
+    items = spark.read.parquet(f"{d}/benchmark.parquet").select(words(F.col("text")).alias("phrase"))
+    docs = spark.read.parquet(f"{d}/documents.parquet").select(words(F.col("text")).alias("phrase"))
+    return own.unionByName(items).unionByName(docs).where(F.length("phrase") >= 8)
+
+
+@query
+def assistant_voice_table(spark, d):
+    replies = audit.with_reply(raw_replies(spark, d))
+    rates = audit.assistant_voice_table(replies, phrase_table(spark, d))
+    return rates.withColumn("rate", F.round("rate", 6))
+
+
 @query
 def role_audit(spark, d):
     return audit.role_audit(turns(spark, d), cfg=CFG)
@@ -453,9 +533,10 @@ def role_audit_events(spark, d):
 # --- Chat logs ------------------------------------------------------------
 
 
-def _flat_history(rows: DataFrame) -> DataFrame:
+def _flat_history(rows: DataFrame, keep_from: bool = False) -> DataFrame:
     said = F.transform("history", lambda m: F.concat(m["role"], F.lit(":"), m["content"]))
-    return rows.withColumn("history", F.array_join(said, "|")).drop("history_from")
+    flat = rows.withColumn("history", F.array_join(said, "|"))
+    return flat if keep_from else flat.drop("history_from")
 
 
 @query
@@ -488,6 +569,71 @@ def chat_history_stream_events(spark, d):
     return _flat_history(settled(drain(chat_history_stream(log), "chat"), event_log(events(spark, d))))
 
 
+#: Events arrive up to three days late, in so many files' worth of arrival.
+LATEST_SECONDS = 3 * 86400
+ARRIVALS = 6
+FILE_ROWS = 1_000_000
+#: A session that pauses for longer starts a new page.
+IDLE_SECONDS = 86400
+TIMED_LOG = "session bigint, seq bigint, role string, line string, ts timestamp"
+
+
+def timed_log(rows: DataFrame) -> DataFrame:
+    ts = F.col("ts").cast("timestamp").alias("ts")
+    return event_log(rows.select("user_id", F.col("event_id"), "event_type", ts), "ts")
+
+
+def _arrive(spark: SparkSession, d: str, path: str, parts: range) -> None:
+    """Events in the order of arrival, up to LATEST_SECONDS after they happened, written part by part."""
+    rows = timed_log(events(spark, d))
+    first, last = rows.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    late = F.pmod(F.xxhash64("seq", F.lit("late")), F.lit(LATEST_SECONDS * 1_000_000))
+    span = max(1, (last or 0) - (first or 0) + LATEST_SECONDS * 1_000_000)
+    part = F.floor((F.unix_micros("ts") - F.lit(first) + late) * ARRIVALS / F.lit(span))
+    files = max(1, rows.count() // (ARRIVALS * FILE_ROWS))
+    for i in parts:
+        rows.where(part == i).repartition(files).write.mode("append").parquet(path)
+
+
+def _close(spark: SparkSession, path: str) -> None:
+    """Twice: what the first moves the watermark past comes out in the micro-batch of the second."""
+    for _ in range(2):
+        close_log(spark, path, TIMED_LOG)
+
+
+def _arriving(spark: SparkSession, path: str, idle_seconds: int | None = None) -> DataFrame:
+    log = read_stream(spark, path, TIMED_LOG, "session", None, 1)  # a file in each micro-batch
+    return chat_history_in_order(log, f"{LATEST_SECONDS} seconds", idle_seconds=idle_seconds)
+
+
+@query
+def chat_history_ordered_stream_events(spark, d):
+    """Events in disorder, many micro-batches, folded as the watermark passes."""
+    path = fresh_path(spark, "arrivals")
+    _arrive(spark, d, path, range(ARRIVALS))
+    _close(spark, path)
+    folded = drain(_arriving(spark, path), "chat-ordered", settings=STATE_STORE)
+    return _flat_history(accepted(folded))
+
+
+@query
+def chat_history_idle_events(spark, d):
+    return _flat_history(chat.chat_history(timed_log(events(spark, d)), idle_seconds=IDLE_SECONDS), keep_from=True)
+
+
+@query
+def chat_history_expiring_stream_events(spark, d):
+    """As above, in two runs: the second goes on from the state of the first, with sessions that were idle deleted."""
+    path, out, progress = (fresh_path(spark, f"expiring-{name}") for name in ("log", "out", "progress"))
+    _arrive(spark, d, path, range(ARRIVALS // 2))
+    stream = _arriving(spark, path, IDLE_SECONDS)
+    advance(stream, out, progress, settings=STATE_STORE | {NO_DATA_BATCHES: "false"})
+    _arrive(spark, d, path, range(ARRIVALS // 2, ARRIVALS))
+    _close(spark, path)
+    advance(_arriving(spark, path, IDLE_SECONDS), out, progress, settings=STATE_STORE | {NO_DATA_BATCHES: "false"})
+    return _flat_history(accepted(advanced(spark, out, progress, stream.schema)), keep_from=True)
+
+
 @query
 def prepare_stream_docs(spark, d):
     docs = _stream(spark, d, "documents", "doc_id", STATELESS_BATCH_BYTES)
@@ -495,6 +641,28 @@ def prepare_stream_docs(spark, d):
     return drain(prepare_stream(arriving, CFG), "prepared-stream").select("conv_id", "part", "text", "split")
 
 
+@query
+def prepare_stream_restarted_docs(spark, d):
+    """Half of the files, a run, the other half, a second run with the same progress."""
+    source, out, progress = (fresh_path(spark, f"restarted-{name}") for name in ("dialogs", "out", "progress"))
+    half = F.pmod(F.xxhash64("conv_id"), F.lit(2))
+    for part in (0, 1):
+        dialogs(spark, d).where(half == part).write.mode("append").parquet(source)
+        prepare_corpus_stream(spark, source, out, progress, CFG)
+    schema = schemas.T.StructType([*schemas.CONVERSATION_LINES.fields, schemas.T.StructField("split", schemas.T.StringType())])
+    prepared = advanced(spark, out, progress, schema, "json")
+    return prepared.select("conv_id", "part", template.render_chat(F.col("messages"), with_bos=F.col("part") == 0).alias("text"), "split")
+
+
+@query
+def filter_funnel_observed(spark, d):
+    """The funnel of the corpus job, summed while conversations are written, by micro-batch of a stream."""
+    source, out, progress = (fresh_path(spark, f"observed-{name}") for name in ("dialogs", "out", "progress"))
+    tables.turns_to_dialogs(turns(spark, d), CFG).select("conv_id", "dialog").write.parquet(source)
+    prepare_corpus_stream(spark, source, out, progress, CFG)
+    return stream_funnel(spark, out, progress)
+
+
 # --- Files ----------------------------------------------------------------
 
 

@@ -5,14 +5,15 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dialogprep import schemas
 from dialogprep.config import PrepareConfig
+from dialogprep.operators.lookup import fits_broadcast
 from dialogprep.operators.ordered import dense_index
 from dialogprep.operators.prepare import dialog_turns
-from dialogprep.sources.storage import spread
+from dialogprep.sources.storage import spread, stage
 
 DEFAULT = PrepareConfig()
 
@@ -20,25 +21,50 @@ DEFAULT = PrepareConfig()
 def read_dialogs(spark: SparkSession, path: str) -> DataFrame:
     """Parquet with one conversation per row; other columns are not read.
 
-    ``conv_id`` may be of any type. Without it, rows get an id from their content
-    and their number among equal rows.
+    ``conv_id`` may be of any type. Without it, rows get an id from where they stand.
     """
     found = spark.read.parquet(path)
     if "conv_id" in found.columns:
         return spread(found.select("conv_id", "dialog"), "conv_id")
-    return spread_ids(found.select("dialog"), "dialog")
+    return spread(found.select(position_id(path).alias("conv_id"), "dialog"), "conv_id")
+
+
+def position_id(path: str) -> Column:
+    """An id for each row of Parquet files: its file, within ``path``, and its number there.
+
+    It costs no shuffle, tells equal rows apart, and is the same for the same
+    files, wherever the folder lies and however the scan is cut.
+    """
+    folder = path.rstrip("/").split("://")[-1]
+    inside = F.substring_index(F.col("_metadata.file_path"), folder, -1)
+    return F.xxhash64(inside, F.col("_metadata.row_index"))
 
 
 def spread_ids(rows: DataFrame, content: str) -> DataFrame:
     """``conv_id`` from the content of a row and its number among equal rows.
 
     Equal rows are interchangeable, so the ids do not depend on how the rows are
-    dealt out. The window reads the content's hash, not the content's order.
+    dealt out. Rows stay where they are: what is shuffled is the digests, to tell
+    which repeat. Only rows with such a digest are written and numbered, by the
+    partition they are written from and then inside it, so that any share of the
+    rows may be equal.
     """
-    digest = F.xxhash64(F.to_json(F.struct(content)))
-    nth = F.row_number().over(Window.partitionBy("_digest").orderBy(F.lit(0)))
-    named = rows.withColumn("_digest", digest).withColumn("_nth", nth)
-    return named.select(F.xxhash64("_digest", "_nth").alias("conv_id"), *rows.columns)
+    named = rows.withColumn("_digest", F.xxhash64(F.to_json(F.struct(content))))
+    first = F.xxhash64("_digest", F.lit(1)).alias("conv_id")
+    counts = named.select("_digest").groupBy("_digest").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = stage(counts.where(F.col("_n") > 1).select("_digest"), "repeated")
+    if repeated.isEmpty():
+        return named.select(first, *rows.columns)
+    known = F.broadcast(repeated) if fits_broadcast(repeated) else repeated
+    once = named.join(known, "_digest", "left_anti").select(first, *rows.columns)
+    more = stage(named.join(known, "_digest", "left_semi").withColumn("_from", F.spark_partition_id()), "repeats")
+    earlier = Window.partitionBy("_digest").orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = more.groupBy("_digest", "_from").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = offsets.select("_digest", "_from", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_digest", "_from").orderBy(F.lit(0)))
+    more = more.withColumn("_own", own).join(offsets, ["_digest", "_from"])
+    nth = (F.col("_before") + F.col("_own")).cast("int")
+    return once.unionByName(more.select(F.xxhash64("_digest", nth).alias("conv_id"), *rows.columns))
 
 
 def read_turns(spark: SparkSession, path: str) -> DataFrame:

@@ -21,7 +21,11 @@ STATE = (
 )
 
 
-def _folder(max_history: int):
+#: Stands for a null ``seq``, which sorts before all others.
+_FIRST = -(1 << 63)
+
+
+def _folder(max_history: int, first: int = _FIRST):
     """The state function. All it uses is local, so workers need no copy of this package."""
     taken = ["seq", "role", "line", "is_exit", "is_reset", "joins"]
     columns = ["session", "segment", "pos", "seq", "role", "line", "history", "history_from", "late"]
@@ -32,7 +36,7 @@ def _folder(max_history: int):
         return pd.DataFrame(rows, columns=columns, dtype=object)
 
     def fold(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        session = int(key[0])
+        session = None if key[0] is None or key[0] != key[0] else int(key[0])
         if state.exists:
             segment, pos, last_seq, closed, roles, lines = state.get
             history = [{"role": r, "content": t} for r, t in zip(roles, lines)]
@@ -44,7 +48,7 @@ def _folder(max_history: int):
         out = []
         for seq, role, line, is_exit, is_reset, joins in arrived:
             if last_seq is not None and seq <= last_seq:
-                out.append((session, None, None, seq, role, line, None, None, True))
+                out.append((session, None, None, None if seq == first else seq, role, line, None, None, True))
             else:
                 last_seq = seq
                 if closed or is_exit:
@@ -55,7 +59,7 @@ def _folder(max_history: int):
                     if pos % max_history == 0:
                         history = []
                     history.append({"role": role, "content": line})
-                    out.append((session, segment, pos, seq, role, line, list(history), pos - pos % max_history, False))
+                    out.append((session, segment, pos, None if seq == first else seq, role, line, list(history), pos - pos % max_history, False))
                     pos += 1
             if len(out) == rows_per_frame:
                 yield frame(out)
@@ -79,10 +83,12 @@ def chat_history_stream(
     ``seq`` seen comes out with ``late`` set and joins nothing. No session is
     forgotten: state holds its segment, position, last ``seq``, whether it is
     closed, and one page of at most ``max_history`` lines. ``history`` and
-    ``history_from`` are those of the batch form.
+    ``history_from`` are those of the batch form. Rows of the null session are a
+    session like any other; a null ``seq`` sorts first.
     """
     return (
         classify(log)
+        .withColumn("seq", F.coalesce("seq", F.lit(_FIRST)))
         .groupBy("session")
         .applyInPandasWithState(
             _folder(max_history),
@@ -108,7 +114,8 @@ def settled(folded: DataFrame, log: DataFrame, max_history: int = MAX_HISTORY) -
     A late row may move each row of its session, so sessions with late rows are
     folded again from the log; the others are as the stream folded them.
     """
-    again = late_rows(folded).select("session").distinct()
-    kept = accepted(folded).join(again, "session", "left_anti")
-    repaired = chat_history(log.join(again, "session", "left_semi"), max_history)
+    again = late_rows(folded).select(F.col("session").alias("_again")).distinct()
+    same = F.col("session").eqNullSafe(F.col("_again"))
+    kept = accepted(folded).join(again, same, "left_anti")
+    repaired = chat_history(log.join(again, same, "left_semi"), max_history)
     return kept.unionByName(repaired.select(*[F.col(c).cast(kept.schema[c].dataType) for c in kept.columns]))
