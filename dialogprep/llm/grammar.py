@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,114 +18,155 @@ from dialogprep.llm.tokens import word_tokenizer
 
 #: Ids of a block, but for one longer document. Each block has its own grammar.
 BLOCK_IDS = 1 << 19
-#: Rounds of replacement, the pairs that a round may replace, and the least number of places for each.
-ROUNDS, PAIRS, LEAST = 3, 1024, 8
-BINS = 1 << 17
-#: Rules are numbered from here on; ids below are the tokenizer's.
-FIRST_RULE = 1 << 20
+#: Places a pair must have to be worth a rule. Two symbols and a length are written for it, 6.25 bytes, and a symbol of
+#: 2.125 bytes is saved at each place: three places save nothing once the codec has seen both.
+LEAST = 4
 
-SCHEMA = "shard int, block int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, doc_ends array<long>, rules binary, lengths binary, coded binary"
+SCHEMA = (
+    "shard int, block int, n_tokens long, first_rule int, doc_ids array<long>, doc_tokens array<long>, doc_ends array<long>, "
+    "rules binary, rules_high binary, lengths binary, lengths_high binary, coded binary, coded_high binary"
+)
 
 
 @dataclass
 class Grammar:
-    """Rule i stands for two symbols, each an id or an earlier rule, and in the end for ``lengths[i]`` ids."""
+    """Symbol ``first + i`` is rule i: two symbols, each an id or an earlier rule, and in the end ``lengths[i]`` ids."""
 
+    first: int
     rules: np.ndarray
     lengths: np.ndarray
 
-    def expansions(self) -> tuple[np.ndarray, np.ndarray]:
-        """All rules written out, one after the other, and where each begins."""
-        starts = np.concatenate([[0], np.cumsum(self.lengths)]).astype(np.int64)
-        flat = np.zeros(starts[-1], dtype=np.int64)
-        for i, pair in enumerate(self.rules.tolist()):
-            at = starts[i]
-            for symbol in pair:
-                if symbol < FIRST_RULE:
-                    flat[at] = symbol
-                    at += 1
-                else:
-                    j = symbol - FIRST_RULE
-                    flat[at : at + self.lengths[j]] = flat[starts[j] : starts[j + 1]]
-                    at += self.lengths[j]
-        return flat, starts
-
     def sizes(self, coded: np.ndarray) -> np.ndarray:
         """How many ids each symbol stands for."""
-        rule = coded >= FIRST_RULE
+        rule = coded >= self.first
         out = np.ones(len(coded), dtype=np.int64)
-        out[rule] = self.lengths[coded[rule] - FIRST_RULE]
+        out[rule] = self.lengths[coded[rule] - self.first]
         return out
 
-    def decode(self, coded: np.ndarray, written: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
-        flat, starts = written or self.expansions()
-        sizes, rule = self.sizes(coded), coded >= FIRST_RULE
-        begin = np.full(len(coded), -1, dtype=np.int64)
-        begin[rule] = starts[coded[rule] - FIRST_RULE]
-        first = np.cumsum(sizes) - sizes
-        out = np.repeat(coded, sizes)
-        inside = np.repeat(rule, sizes)
-        at = np.repeat(begin - first, sizes)[inside] + np.flatnonzero(inside)
-        out[inside] = flat[at]
-        return out
+    def expansions(self) -> tuple[np.ndarray, np.ndarray]:
+        """All symbols written out as ids, one after the other, and where each begins."""
+        out = list(_ids_alone(self.first))
+        for left, right in self.rules.tolist():
+            out.append(out[left] + out[right])
+        starts = np.concatenate([np.arange(self.first), self.first + np.cumsum(self.lengths) - self.lengths])
+        return np.frombuffer(b"".join(out), dtype="<u4"), starts
+
+    def decode(self, coded: np.ndarray) -> np.ndarray:
+        """The ids that the symbols stand for, as unsigned 32-bit integers."""
+        flat, starts = self.expansions()
+        sizes = self.sizes(coded)
+        ends = np.cumsum(sizes)
+        at = np.repeat(starts[coded] - (ends - sizes), sizes)
+        return flat[at + np.arange(len(at))]
 
     def at(self, coded: np.ndarray, position: int) -> int:
         """The id at a position, found by lengths alone, without decoding what stands before."""
         ends = np.cumsum(self.sizes(coded))
         i = int(np.searchsorted(ends, position, side="right"))
         symbol, position = int(coded[i]), position - (int(ends[i - 1]) if i else 0)
-        while symbol >= FIRST_RULE:
-            left, right = self.rules[symbol - FIRST_RULE].tolist()
-            size = int(self.lengths[left - FIRST_RULE]) if left >= FIRST_RULE else 1
+        while symbol >= self.first:
+            left, right = self.rules[symbol - self.first].tolist()
+            size = int(self.lengths[left - self.first]) if left >= self.first else 1
             symbol, position = (left, position) if position < size else (right, position - size)
         return symbol
 
 
-def compress(ids: np.ndarray, last: np.ndarray, rounds: int = ROUNDS) -> tuple[Grammar, np.ndarray, np.ndarray]:
+@cache
+def _ids_alone(n: int) -> list[bytes]:
+    raw = np.arange(n, dtype="<u4").tobytes()
+    return [raw[i : i + 4] for i in range(0, len(raw), 4)]
+
+
+def compress(ids: np.ndarray, last: np.ndarray, first_rule: int | None = None, least: int = LEAST) -> tuple[Grammar, np.ndarray, np.ndarray]:
     """(grammar, coded, positions in ``coded`` after each place of ``last``).
 
     ``last`` are the places of the documents' last ids; no pair reaches over one, so a document is a slice of
-    ``coded``. A round counts all pairs in hashed bins and replaces those of the fullest bins at once, from left
-    to right where places overlap; a pair that shares a bin waits for a later round.
+    ``coded``. Pairs are counted exactly and replaced until none has ``least`` places: from then on a rule would
+    take more room than it saves. A round replaces many pairs at once. Of places that share a symbol, that of the
+    more frequent pair comes first, then that of the smaller pair; a pair that is left with fewer than ``least``
+    places by that waits for the next round. In a run of one symbol every second place counts. A pair
+    that once has too few places never has more, as its symbols are made no more; so a round looks only at
+    places beside new symbols and at those that were frequent before.
     """
-    symbols = ids.astype(np.uint32)
-    ends = np.zeros(len(symbols), dtype=bool)
-    ends[last] = True
-    rules: list[np.ndarray] = [np.empty((0, 2), np.int64)]
-    lengths = np.empty(0, dtype=np.int64)
-    for _ in range(rounds):
-        if len(symbols) < 2:
+    symbols = np.array(ids, dtype=np.int32)
+    first = int(symbols.max(initial=0)) + 1 if first_rule is None else first_rule
+    ends = np.zeros(len(symbols) + 1, dtype=bool)
+    ends[np.asarray(last) + 1] = True  # before which a document begins
+    alive = np.flatnonzero(~ends[1 : len(symbols)]).astype(np.int32)
+    rules, lengths = [np.empty((0, 2), np.int64)], np.empty(0, dtype=np.int64)
+    while True:
+        places, pair, own, count, spare = _frequent(symbols, alive, least)
+        if not len(places):
             break
-        bin_of = (symbols[:-1] * np.uint32(0x9E3779B1) + symbols[1:] * np.uint32(0x85EBCA77)) >> np.uint32(15)
-        full = np.bincount(bin_of, minlength=BINS)
-        top = np.argpartition(full, -PAIRS)[-PAIRS:]
-        top = np.sort(top[full[top] >= LEAST])
-        rank = np.full(BINS, -1, dtype=np.int32)
-        rank[top] = np.arange(len(top), dtype=np.int32)
-        own = rank[bin_of]
-        here = np.flatnonzero(own >= 0)
-        here = here[~ends[here]]
-        if not len(here):
-            break
-        own, left, right = own[here], symbols[here], symbols[here + 1]
-        pair = np.zeros((len(top), 2), dtype=np.uint32)
-        pair[own[::-1]] = np.stack([left, right], axis=1)[::-1]
-        same = (left == pair[own, 0]) & (right == pair[own, 1])
-        here, own = here[same], own[same]
-        # of places that follow each other directly, every second is taken
-        run = np.concatenate([[0], np.flatnonzero(np.diff(here) != 1) + 1])
-        place = np.arange(len(here)) - np.repeat(run, np.diff(np.concatenate([run, [len(here)]])))
-        here, own = here[place % 2 == 0], own[place % 2 == 0]
-        made, pair = len(lengths), pair.astype(np.int64)
-        symbols[here] = FIRST_RULE + made + own
-        size = np.where(pair < FIRST_RULE, 1, np.append(lengths, 0)[np.where(pair < FIRST_RULE, made, pair - FIRST_RULE)])
+        # a place gives way to that of a more frequent pair beside it, or of the smaller pair
+        rank = np.empty(len(count), dtype=np.int32)
+        rank[np.argsort(-count, kind="stable")] = np.arange(len(count), dtype=np.int32)
+        rank = rank[own]
+        beside, ahead = places[1:] == places[:-1] + 1, rank[1:] < rank[:-1]
+        wins = np.ones(len(places), dtype=bool)
+        wins[:-1] &= ~(beside & ahead)
+        wins[1:] &= ahead | ~beside
+        chosen = np.bincount(own[wins], minlength=len(count)) >= least
+        take = wins & chosen[own]
+        here, made = places[take], (first + len(lengths) - 1 + np.cumsum(chosen)).astype(np.int32)[own[take]]
+        pair, known = pair[chosen], np.append(lengths, 1)
+        lengths = np.concatenate([lengths, known[np.where(pair < first, len(lengths), pair - first)].sum(axis=1)])
         rules.append(pair)
-        lengths = np.concatenate([lengths, size.sum(axis=1)])
-        keep = np.ones(len(symbols), dtype=bool)
-        keep[here + 1] = False
-        ends[here] = ends[here + 1]
-        symbols, ends = symbols[keep], ends[keep]
-    return Grammar(np.concatenate(rules), lengths), symbols.astype(np.int64), np.flatnonzero(ends) + 1
+        # the places that are left, and where they are when the second symbols are gone
+        used = np.zeros(len(symbols) + 1, dtype=bool)
+        used[here + 1] = True
+        symbols[here] = made
+        moved = np.cumsum(used, dtype=np.int32)
+        waiting = np.concatenate([places[~take], spare])
+        waiting = waiting[~(used[waiting] | used[waiting + 1])]
+        waiting -= moved[waiting]
+        fresh = here - moved[here]
+        left = ~used
+        symbols, ends = symbols[left[:-1]], ends[left]
+        look = np.zeros(len(symbols) + 1, dtype=bool)
+        for some in (waiting, fresh, fresh - 1):
+            look[some] = True  # the place before the first is the one behind the last, which is not looked at
+        alive = np.flatnonzero(look[: len(symbols) - 1] & ~ends[1 : len(symbols)]).astype(np.int32)
+    return Grammar(first, np.concatenate(rules), lengths), symbols.astype(np.int64), np.flatnonzero(ends[1:]) + 1
+
+
+def _frequent(symbols: np.ndarray, places: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """The places, in order, of pairs with ``least`` of them; their different pairs, each place's pair, counts.
+
+    Places in a run of one symbol overlap; every second one counts, the others come last.
+    """
+    left, right = symbols[places], symbols[places + 1]
+    same = np.flatnonzero(left == right)
+    spare = places[:0]
+    if len(same):
+        run = places[same]
+        begin = np.flatnonzero(np.append(True, (np.diff(run) != 1) | (symbols[run[1:]] != symbols[run[:-1]])))
+        inside = np.arange(len(run)) - np.repeat(begin, np.diff(np.append(begin, len(run))))
+        odd = same[inside % 2 == 1]
+        if len(odd):
+            spare = places[odd]
+            places, left, right = (np.delete(x, odd) for x in (places, left, right))
+    bits, at = int(symbols.max(initial=0)).bit_length(), max(1, len(places)).bit_length()
+    key = left.astype(np.int64)
+    key <<= bits
+    key |= right
+    if 2 * bits + at < 63:  # sorted with their places in one number
+        key <<= at
+        key |= np.arange(len(places), dtype=np.int64)
+        key.sort()
+        order = (key & ((1 << at) - 1)).astype(np.int32)
+        key >>= at
+    else:
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+    edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, np.int64)
+    count = np.diff(edges)
+    often = np.flatnonzero(count >= least)
+    pairs, sizes = key[edges[often]], count[often]
+    own = np.full(len(key), -1, dtype=np.int32)
+    own[order] = np.repeat(np.where(count >= least, np.cumsum(count >= least) - 1, -1).astype(np.int32), count)
+    told = own >= 0
+    return places[told], np.stack([pairs >> bits, pairs & ((1 << bits) - 1)], axis=1), own[told], sizes, spare
 
 
 def write_documents(docs: DataFrame, path: str, folder: str, end_id: int, block_ids: int = BLOCK_IDS) -> None:
@@ -149,37 +191,60 @@ def write_documents(docs: DataFrame, path: str, folder: str, end_id: int, block_
             for doc_id, raw, shard in zip(batch.column("doc_id").to_pylist(), ids, batch.column("shard").to_pylist(), strict=True):
                 n = len(raw) // own.dtype.itemsize + 1
                 if held and size + n > block_ids:
-                    yield _block(block, held)
+                    yield _block(block, held, own.size)
                     held, size, block = [], 0, block + 1
                 held.append((doc_id, shard, np.frombuffer(raw + end, dtype=own.dtype)))
                 size += n
         if held:
-            yield _block(block, held)
+            yield _block(block, held, own.size)
 
-    rows.mapInArrow(run, SCHEMA).write.parquet(folder)
+    rows.mapInArrow(run, SCHEMA).write.parquet(folder, compression="zstd")
 
 
-def _block(number: int, held: list[tuple]) -> pa.RecordBatch:
+def _block(number: int, held: list[tuple], first_rule: int) -> pa.RecordBatch:
     n = np.array([len(ids) for _, _, ids in held], dtype=np.int64)
-    grammar, coded, ends = compress(np.concatenate([ids for _, _, ids in held]), np.cumsum(n) - 1)
-    values = [held[0][1], number, int(n.sum()), [d for d, _, _ in held], n.tolist(), ends.tolist(), *(x.astype("<u4").tobytes() for x in (grammar.rules, grammar.lengths, coded))]
+    grammar, coded, ends = compress(np.concatenate([ids for _, _, ids in held]), np.cumsum(n) - 1, first_rule)
+    planes = [*_planes(grammar.rules.ravel()), *_planes(grammar.lengths), *_planes(coded)]
+    values = [held[0][1], number, int(n.sum()), first_rule, [d for d, _, _ in held], n.tolist(), ends.tolist(), *planes]
     longs = pa.list_(pa.int64())
-    kinds = [pa.int32(), pa.int32(), pa.int64(), longs, longs, longs, pa.binary(), pa.binary(), pa.binary()]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), longs, longs, longs, *[pa.binary()] * 6]
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], [f.split()[0] for f in SCHEMA.split(", ")])
 
 
+def _planes(symbols: np.ndarray) -> tuple[bytes, bytes]:
+    """The low two bytes of each number, and the bits above them, a plane of packed bits for each."""
+    high = symbols >> 16
+    planes = [np.packbits((high >> bit) & 1).tobytes() for bit in range(int(high.max(initial=0)).bit_length())]
+    return (symbols & 0xFFFF).astype("<u2").tobytes(), b"".join(planes)
+
+
+def _numbers(low: bytes, high: bytes) -> np.ndarray:
+    out = np.frombuffer(low, dtype="<u2").astype(np.int64)
+    if high:
+        for bit, plane in enumerate(np.frombuffer(high, dtype=np.uint8).reshape(-1, -(-len(out) // 8))):
+            out |= np.unpackbits(plane, count=len(out)).astype(np.int64) << (16 + bit)
+    return out
+
+
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(shard, block, doc_id, before, n_tokens, ids): the documents of the files; ``before`` counts the block's ids before."""
+    """(shard, block, doc_id, before, n_tokens, ids): the documents of the files; ``before`` counts the block's ids before.
+
+    A row for each row that was written, those with null or repeated ids too; ids are little-endian unsigned
+    32-bit integers. Files of an empty table give no row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                rules, lengths, coded = (np.frombuffer(row[c], dtype="<u4").astype(np.int64) for c in ("rules", "lengths", "coded"))
-                grammar = Grammar(rules.reshape(-1, 2), lengths)
-                written, n = grammar.expansions(), np.array(row["doc_tokens"], dtype=np.int64)
-                begin = [0, *row["doc_ends"][:-1]]
-                raw = [grammar.decode(coded[a:b], written).astype("<u4").tobytes() for a, b in zip(begin, row["doc_ends"], strict=True)]
-                columns = [pa.array([row["shard"]] * len(n), pa.int32()), pa.array([row["block"]] * len(n), pa.int32()), pa.array(row["doc_ids"], pa.int64()), pa.array(np.cumsum(n) - n), pa.array([len(r) // 4 for r in raw], pa.int64()), pa.array(raw, pa.binary())]
+                rules, lengths, coded = (_numbers(row[c], row[f"{c}_high"]) for c in ("rules", "lengths", "coded"))
+                grammar = Grammar(row["first_rule"], rules.reshape(-1, 2), lengths)
+                ids = grammar.decode(coded)
+                # a document's ids are a slice of the block's: those of the symbols up to its end
+                edges = np.append(0, np.cumsum(grammar.sizes(coded))[np.array(row["doc_ends"], dtype=np.int64) - 1])
+                buffers = [None, pa.py_buffer((4 * edges).astype(np.int64)), pa.py_buffer(ids.tobytes())]
+                n = len(edges) - 1
+                raw = pa.Array.from_buffers(pa.large_binary(), n, buffers).cast(pa.binary())
+                columns = [pa.array([row["shard"]] * n, pa.int32()), pa.array([row["block"]] * n, pa.int32()), pa.array(row["doc_ids"], pa.int64()), pa.array(edges[:-1]), pa.array(np.diff(edges)), raw]
                 yield pa.RecordBatch.from_arrays(columns, ["shard", "block", "doc_id", "before", "n_tokens", "ids"])
 
     schema = "shard int, block int, doc_id long, before long, n_tokens long, ids binary"

@@ -4,72 +4,150 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
 from functools import cache
+from itertools import chain, compress, filterfalse, repeat
+from operator import is_
+from string import punctuation
 
 import numpy as np
 import regex
-from public_tokenizers import PATTERN
 
 from dialogprep.llm.bpe import forget, word_keys, word_of
 
+# --- Fixed values ---------------------------------------------------------
+# What the library's ByteLevel step cuts by; a file can only switch it off.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# --- End of fixed values --------------------------------------------------
+
 #: Encoded words a Python worker remembers. It forgets none and learns no more when full.
 REMEMBERED = 900_000
+#: New words that the library gets at once.
+LEARNT_WORDS = 1 << 14
+#: Pieces of words with other signs in them that are remembered beside the words.
+PIECES = 1 << 16
 
 
 class WordTokenizer:
     """Encodes as ``Tokenizer.encode(text, add_special_tokens=False)`` does.
 
     For a file of byte-level BPE, texts are cut at single spaces and line ends, where its pattern cuts too, and the
-    words are remembered. A new word is cut by the pattern, and the library's model encodes the pieces. Other
-    files are left to the library as a whole. Strings that look like special tokens are ordinary text. Ids are
+    words are remembered. New words are cut by the pattern, and the library's model gets many pieces at a time. Other files are left to the library as a whole. Texts are cut
+    at the contents of added tokens first, special ones included, as the library does. Ids are
     little-endian unsigned integers of ``dtype``, two bytes if all ids fit.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        vocabulary = self.library.get_vocab()
+        self.size = max(vocabulary.values()) + 1
+        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
-        before = parts.get("pre_tokenizer") or {}
-        self.by_word = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not parts.get("normalizer")
-        self.split, self.model = regex.compile(PATTERN).findall, self.library.model.tokenize
+        added = parts.get("added_tokens") or []
+        self.by_word = _plain_byte_level(parts) and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s|^$", t["content"]) for t in added)
+        self.added = {t["content"]: self._raw([t["id"]]) for t in added}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")").split if added else None
+        self.split = regex.compile(BYTE_LEVEL).findall
         # byte-level files write each byte as a visible character: itself, or one from 256 on
         seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
         hidden = iter(range(256, 512))
-        self.visible = {b: b if b in seen else next(hidden) for b in range(256)}
+        self.visible = {b: b if b in seen else next(hidden) for b in range(256)} | {0xFF: ord(" ")}
+        # the file's model behind a cut at spaces, which visible characters don't hold
+        self.uncut = Tokenizer.from_file(path)
+        self.uncut.pre_tokenizer = CharDelimiterSplit(" ")
+        self.opens = np.zeros(self.size, dtype=bool)
+        space = chr(self.visible[ord(" ")])
+        self.opens[[i for token, i in vocabulary.items() if token not in self.added and token[:1] == space]] = True
         self.known: dict[str, bytes] = {}
-        self.short: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _raw(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
 
     def encode_all(self, many: list[str]) -> list[bytes]:
         """The ids of each text."""
         if not self.by_word:
-            return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.library.encode_batch(many, add_special_tokens=False)]
-        known = self.known
+            return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.library.encode_batch_fast(many, add_special_tokens=False)]
+        parted = {i: self.cut(text) for i, text in enumerate(many) if self.cut and any(c in text for c in self.added)}
+        if not parted:
+            return self._encode_plain(many)
+        plain = [text for i, text in enumerate(many) if i not in parted] + [part for own in parted.values() for part in own[::2]]
+        ids = self._encode_plain(plain)
+        whole, parts = iter(ids), iter(ids[len(many) - len(parted) :])
+        return [b"".join(self.added[p] if k % 2 else next(parts) for k, p in enumerate(parted[i])) if i in parted else next(whole) for i in range(len(many))]
+
+    def _encode_plain(self, many: list[str]) -> list[bytes]:
+        """The ids of texts without added tokens."""
+        known, none = self.known, repeat(None)
         words = [word_keys(text) for text in many]
-        fresh = list(set().union(*words).difference(known))
-        known.update([(w, self._encode(word_of(w))) for w in fresh])
-        out = [b"".join(map(known.__getitem__, own)) for own in words]
+        found = [list(map(known.get, own)) for own in words]
+        missing = [list(compress(own, map(is_, raw, none))) for own, raw in zip(words, found, strict=True)]
+        fresh = list(set(chain.from_iterable(missing)))
+        for start in range(0, len(fresh), LEARNT_WORDS):
+            self._learn(fresh[start : start + LEARNT_WORDS])
+        out = []
+        for own, raw in zip(missing, found, strict=True):
+            if own:
+                learnt = map(known.__getitem__, own)
+                raw = [next(learnt) if ids is None else ids for ids in raw]
+            out.append(b"".join(raw))
         forget(known, fresh, REMEMBERED)
         return out
 
-    def _encode(self, word: str) -> bytes:
-        out = b""
-        for piece in self.split(word):
-            # a remembered word stands for itself behind a space, unless it is a key of another kind
-            ids = self.known.get(piece[1:]) if piece[0] == " " and piece[1:2] not in ("", "\0", "\n") else self.short.get(piece)
-            if ids is None:
-                spelled = piece.encode().decode("latin-1").translate(self.visible)
-                ids = array(self.code, [t.id for t in self.model(spelled)]).tobytes()
-                if len(piece) == 1:
-                    self.short[piece] = ids
-            out += ids
-        return out
+    def _learn(self, keys: list[str]) -> None:
+        """Remember words: cut by the pattern, which leaves letters behind a space whole, and encoded piece by piece."""
+        known, pieces = self.known, self.pieces
+        plain = list(filter(str.isalpha, keys))
+        # letters and then signs, which are a piece of their own
+        signed = [(key, key.rstrip(punctuation)) for key in filterfalse(str.isalpha, keys)]
+        other = [(key, self.split(word_of(key))) for key, stem in signed if not stem.isalpha()]
+        signed = [(key, stem, key[len(stem) :]) for key, stem in signed if stem.isalpha()]
+        fresh = {piece for _, own in other for piece in own}.union([tail for _, _, tail in signed]).difference(pieces)
+        spaced = [piece[1:] for piece in fresh if piece[0] == " " and piece[1:] and not piece[1].isspace()]
+        words = plain + list({*spaced, *[stem for _, stem, _ in signed]}.difference(known, plain))
+        found = dict(zip(words, self._spaced(words), strict=True))
+        tokenize = self.library.model.tokenize
+        pieces.update([(" " + word, found[word] if word in found else known[word]) for word in spaced])
+        pieces.update([(piece, self._raw([t.id for t in tokenize(self._spelled(piece.encode()))])) for piece in fresh if piece not in pieces])
+        known.update([(key, b"".join([pieces[piece] for piece in own])) for key, own in other])
+        known.update([(key, (found[stem] if stem in found else known[stem]) + pieces[tail]) for key, stem, tail in signed])
+        known.update(zip(plain, map(found.__getitem__, plain), strict=True))
+        if len(pieces) > PIECES:
+            pieces.clear()
+
+    def _spaced(self, words: list[str]) -> list[bytes]:
+        """The ids of each word behind a space, a piece that the model does not cut.
+
+        All go to the library at once, parted by bytes FF, which UTF-8 never holds: the token that opens each
+        begins with the space, and no other does.
+        """
+        if not words:
+            return []
+        (joined,) = self.uncut.encode_batch_fast([self._spelled(b" " + b"\xff ".join(map(str.encode, words)))], add_special_tokens=False)
+        ids = np.array(joined.ids, dtype=self.dtype)
+        begin = np.flatnonzero(self.opens[ids])
+        raw, edges = ids.tobytes(), (np.append(begin, len(ids)) * self.dtype.itemsize).tolist()
+        return list(map(raw.__getitem__, map(slice, edges, edges[1:])))
+
+    def _spelled(self, raw: bytes) -> str:
+        return raw.decode("latin-1").translate(self.visible)
+
+
+def _plain_byte_level(parts: dict) -> bool:
+    """A file whose only steps are the ByteLevel cut and a model: nothing else changes a text or its ids."""
+    before, after = parts.get("pre_tokenizer") or {}, parts.get("post_processor") or {"type": "ByteLevel"}
+    cuts = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+    others = [parts.get(step) for step in ("normalizer", "truncation", "padding")]
+    model = parts.get("model") or {}
+    return cuts and after.get("type") == "ByteLevel" and not any(others) and model.get("type", "BPE") == "BPE" and not model.get("dropout")
 
 
 @cache

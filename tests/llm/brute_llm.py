@@ -29,9 +29,8 @@ def differ(got: dict, want: dict):
 
 
 def english() -> Tokenizer:
-    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    """As the library reads its file: the content of an added token is that token."""
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op2_byte_bpe(got, docs):
@@ -268,3 +267,48 @@ def op13_sharding(got, docs):
     if max(counts) - min(counts) > 1:
         return ("counts", counts)
     return differ({r.doc_id: (r.size, r.text_crc32, r.law) for r in got.itertuples()}, want)
+
+
+def language_bits(rows: list[tuple], text: str) -> dict[str, float]:
+    """Bits of the text under each language's contexts of two bytes, one and none, escapes by method C."""
+    bits = {}
+    for lang in sorted({lang for _, lang in rows}):
+        seen: dict[bytes, dict[int, int]] = defaultdict(lambda: defaultdict(int))
+        for own, of in rows:
+            raw = b"\0\0" + own.encode()
+            for i in range(2, len(raw) if of == lang else 0):
+                for k in (2, 1, 0):
+                    seen[raw[i - k : i]][raw[i]] += 1
+        raw, total = b"\0\0" + text.encode(), 0.0
+        for i in range(2, len(raw)):
+            share = 1.0
+            for k in (2, 1, 0, None):
+                counts = {} if k is None else seen.get(raw[i - k : i], {})
+                n, kinds = sum(counts.values()), len(counts)
+                if k is None:
+                    share /= 256
+                elif raw[i] in counts:
+                    share *= counts[raw[i]] / (n + kinds)
+                    break
+                elif n:
+                    share *= kinds / (n + kinds)
+            total -= float(np.log2(share))
+        bits[lang] = total
+    return bits
+
+
+def cheapest_reading(cost, symbol, options, skips, repeat_cost: float, token: str) -> float:
+    """The least cost over all readings of a token, tried one by one."""
+
+    def go(i: int, a: int, b: int, last: str) -> float:
+        if i == len(token):
+            return float(cost[a, b, 0])
+        best = skips(token[i]) + go(i + 1, a, b, last) if skips(token[i]) is not None else np.inf
+        for letter, extra in options(token[i]):
+            s = symbol(letter)
+            best = min(best, extra + float(cost[a, b, s]) + go(i + 1, b, s, letter))
+            if s and s == b and letter == last:
+                best = min(best, extra + repeat_cost + go(i + 1, a, b, last))
+        return best
+
+    return go(0, 0, 0, "")
