@@ -111,7 +111,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, probes: int = PROBES, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of each row; links join vectors of equal label and a cosine not below ``threshold``.
+    """(vec_id, n_links, component_id, kept) of each vector; links join vectors of equal label and a cosine not below ``threshold``.
 
     Each vector stands in the list of its nearest cell as a code of its residual, and looks in the lists of its
     ``probes`` nearest cells. There a table of distances sums up the codes, and what may be near enough, given how
@@ -124,13 +124,13 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, probes: int =
     most, enough to join the groups.
 
     A null label, and a vector that is null, empty, zero or holds null or non-finite parts, links with nothing. So
-    does a null vec_id, which is its own row with a null component. Rows with the same vec_id are one vector if they
-    are equal, else each counts. Vectors of different lengths don't link. An empty table gives an empty result.
+    does a null vec_id, each row of which is a row with a null component. Rows with the same vec_id are one vector and
+    give one row: equal ones count once, of different ones each links. Vectors of different lengths don't link. An empty table gives an empty result.
     Other columns are not read.
     """
     spark = vectors.sparkSession
     every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label"), "embedding")
-    units = stage(usable(every), "units")
+    units = stage(usable(every).dropDuplicates(["vec_id", "label", "unit"]), "units")
     # copies: one member, told by its least id
     members = units.groupBy("label", "unit").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
     members = stage(members, "members")
@@ -153,6 +153,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, probes: int =
     nodes = nodes.select("label", "unit", "node", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("component_id"))
     placed = units.join(nodes, ["label", "unit"]).groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     ids = every.select("vec_id")
+    ids = ids.where(F.col("vec_id").isNotNull()).distinct().unionByName(ids.where(F.col("vec_id").isNull()))
     out = ids.join(placed, "vec_id", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
