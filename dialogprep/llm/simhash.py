@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import combinations
 
@@ -25,13 +25,8 @@ LENGTH = 23
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Members of a key that one task compares with each other. Larger keys are compared block by block.
 DENSE = 8192
-#: Anchored keys of a wide fingerprint, each with 32 bits of its own.
-TABLES = 10
-#: Members of a key that are all compared at once, and links that a member of a larger key starts in its tree.
+#: Members of a key that are all compared at once.
 FEW = 8
-FAN = 8
-#: Standard deviations of the estimate that candidates are allowed; 0.15 % of pairs of the least similarity lie beyond.
-SPREAD = 3
 
 
 def simhash(many: Iterable[str], words: int = 3) -> np.ndarray:
@@ -63,24 +58,6 @@ def _majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * votes > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def wide_simhash(text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """A fingerprint of TABLES * 32 bits by as many independent votes, and TABLES anchors with the sum of all hashes.
-
-    An anchor is the least of the shingles' hashes under an order of its own: two texts have it in common as
-    likely as they are similar. Each different shingle votes once. The sum tells different sets apart.
-    """
-    hashes = np.unique(shingle_hashes(text, words))
-    prints = np.array([_majority(_mixed(hashes, i)) for i in range(TABLES // 2)], dtype=np.uint64)
-    anchors = np.array([_mixed(hashes, 100 + i).min() if len(hashes) else 0 for i in range(TABLES)] + [hashes.sum(dtype=np.uint64)], dtype=np.uint64)
-    return prints, anchors
-
-
-def _mixed(h: np.ndarray, order: int) -> np.ndarray:
-    h = (h ^ np.uint64(order * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(32))
-
-
 @cache
 def golay() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(remainder of the low and high bits of a word, error patterns by remainder, their number).
@@ -147,27 +124,10 @@ def keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(out), np.concatenate(home)
 
 
-def anchored_keys(prints: np.ndarray, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """As keys(), for wide fingerprints: (anchor, codeword of the segment) of each table, mixed into 64 bits.
-
-    A pair of similarity 0.8 meets at the codeword of a table in 39 of 100 cases, and at the anchor in 80. All ten
-    tables together find 97.7 % of such pairs, 99.4 % at 0.85 and 99.9 % at 0.9.
-    """
-    rows, out, home = [], [], []
-    for i in range(TABLES):
-        segment = (prints[:, i // 2] >> np.uint64(32 * (i % 2))) & np.uint64((1 << LENGTH) - 1)
-        index, there = codewords(segment.astype(np.int64))
-        row, column = np.nonzero(there)
-        rows.append(row)
-        out.append(_mixed(anchors[row, i] + index[row, column].astype(np.uint64), 200 + i).view(np.int64))
-        home.append(column == 0)
-    return np.concatenate(rows), np.concatenate(out), np.concatenate(home)
-
-
 def near_links(nodes: DataFrame, max_bits: int, dense: int = DENSE) -> DataFrame:
     """(a, b): links that join all nodes at most ``max_bits`` apart that meet at a key; each is true, not all are told.
 
-    ``nodes`` has (node long, print binary, anchors binary or null), one row a fingerprint. The groups of these
+    ``nodes`` has (node long, print binary), one row a fingerprint. The groups of these
     links are those of all such pairs, and n members of a key are joined by less than n links. A key with more
     than ``dense`` members is cut in blocks and each pair of blocks becomes a key: no pair is left out.
     """
@@ -204,12 +164,11 @@ def _key_rows(nodes: DataFrame) -> DataFrame:
             for i in range(0, batch.num_rows, 10_000):
                 part = batch.slice(i, 10_000)
                 node, prints = part.column(0).to_numpy(), _words64(part.column(1))
-                wide = part.column(2).null_count == 0
-                row, key, home = anchored_keys(prints, _words64(part.column(2))) if wide else keys(prints[:, 0])
+                row, key, home = keys(prints[:, 0])
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node[row]), _binary(prints[row]), pa.array(home)], names)
 
     names, schema = ["key", "node", "print", "home"], "key long, node long, print binary, home boolean"
-    return nodes.select("node", "print", "anchors").mapInArrow(spread, schema)
+    return nodes.select("node", "print").mapInArrow(spread, schema)
 
 
 def _block_rows(rows: DataFrame, dense: int) -> DataFrame:
@@ -223,75 +182,6 @@ def _block_rows(rows: DataFrame, dense: int) -> DataFrame:
     return pairs.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), *others)
 
 
-def similar_links(nodes: DataFrame, sets: Callable[[DataFrame], DataFrame], max_bits: int, similarity: float, dense: int = DENSE) -> DataFrame:
-    """(a, b): links of ``similarity`` or more, which join all nodes so alike that meet at a key at most ``max_bits`` apart.
-
-    ``sets`` gives (node, hashes) of the nodes asked for. Bits only choose candidates; the share of common hashes
-    decides. In keys of few members all pairs are candidates. A larger key first gives a tree, whose links have no
-    more than FAN others at a member; then all pairs that the links found so far do not join. So a group of
-    copies costs as much as it has members, and no pair is left out for a link of the tree that did not hold.
-    """
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, node, prints, home in _whole_keys(batches, FEW):
-            a, b = _links(key, node, prints, home, max_bits, FEW)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-    def tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, node, prints, _home in _whole_keys(batches, 1 << 40):
-            for own in _members(key):
-                yield from _pairs(*_forest(node[own], prints[own], max_bits, FAN))
-
-    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, node, prints, home, root in _whole_keys(batches, 1 << 40):
-            for own in _members(key):
-                yield from _across(node[own], prints[own], home[own], root[own], max_bits)
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        known = stage(sets(ends), "shingles")
-        x, y = (known.select(F.col("node").alias(n), F.col("hashes").alias(h)) for n, h in (("a", "x"), ("b", "y")))
-        common = F.size(F.array_intersect("x", "y"))
-        rows = pairs.join(x, "a").join(y, "b").select("a", "b", common.alias("n"), (F.size("x") + F.size("y")).alias("both"))
-        return stage(rows.where(F.col("n") / (F.col("both") - F.col("n")) >= similarity).select("a", "b").distinct(), "alike")
-
-    rows = _key_rows(nodes)
-    found = stage(rows.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "a long, b long").distinct(), "met")
-    pairs = found.where(F.col("b").isNotNull())
-    large = found.where(F.col("b").isNull()).select(F.col("a").alias("key"))
-    if large.isEmpty():
-        return alike(pairs)
-    held = stage(_block_rows(rows.join(large, "key", "left_semi"), dense), "large-keys")
-    trees = held.repartition("key").sortWithinPartitions("key").mapInArrow(tree, "a long, b long")
-    pairs = stage(pairs.unionByName(trees).distinct(), "candidates")
-    links = alike(pairs)
-    roots = components(links, "a", "b")
-    held = held.join(roots, "node", "left").select("key", "node", "print", "home", F.coalesce("root", "node").alias("root"))
-    others = held.repartition("key").sortWithinPartitions("key").mapInArrow(rest, "a long, b long").distinct()
-    others = stage(others.join(pairs, ["a", "b"], "left_anti"), "candidates")
-    return links if others.isEmpty() else links.unionByName(alike(others))
-
-
-def _members(key: np.ndarray) -> list[slice]:
-    """The places of each key of sorted rows."""
-    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])).tolist()
-    return [slice(a, b) for a, b in zip(begin, [*begin[1:], len(key)], strict=True)]
-
-
-def _pairs(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
-    if len(a):
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-
-def _across(node: np.ndarray, prints: np.ndarray, home: np.ndarray, root: np.ndarray, max_bits: int) -> Iterator[pa.RecordBatch]:
-    """All pairs of near members of a key that have different roots."""
-    for i in range(len(node) - 1):
-        j = i + 1 + np.flatnonzero((root[i + 1 :] != root[i]) & (home[i + 1 :] | home[i]))
-        j = j[_apart(prints[j], prints[i]) <= max_bits]
-        yield from _pairs(np.full(len(j), node[i]), node[j])
-
-
 def _words64(column: pa.Array) -> np.ndarray:
     """Equally long binary values as rows of 64-bit integers."""
     ends = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
@@ -355,19 +245,14 @@ def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
 
 
-def _forest(node: np.ndarray, prints: np.ndarray, max_bits: int, fan: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Links enough to join all members that chains of near ones join: one less than there are of them.
-
-    With ``fan``, a member starts so many links at most, and those it leads to go on.
-    """
+def _forest(node: np.ndarray, prints: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links enough to join all members that chains of near ones join: one less than there are of them."""
     a, b = [], []
     while len(node):
         queue, node, prints = [(node[0], prints[0])], node[1:], prints[1:]
         while queue and len(node):
             one, own = queue.pop()
             near = _apart(prints, own) <= max_bits
-            if fan:
-                near &= np.cumsum(near) <= fan
             if near.any():
                 a.append(np.full(near.sum(), one))
                 b.append(node[near])
@@ -398,7 +283,7 @@ def near_duplicate_groups(docs: DataFrame, words: int = 3, dense: int = DENSE) -
     """
     prints = stage(fingerprints(docs, words), "prints")
     nodes = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
-    wanted = nodes.select(F.col("print").alias("node"), _bytes_of("print").alias("print"), F.lit(None).cast("binary").alias("anchors"))
+    wanted = nodes.select(F.col("print").alias("node"), _bytes_of("print").alias("print"))
     groups = components(near_links(wanted, MAX_BITS, dense), "a", "b")
     nodes = nodes.join(groups, nodes["print"] == groups["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root"))
     least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -411,49 +296,12 @@ def _bytes_of(number: str) -> F.Column:
     return F.unhex(F.lpad(F.hex(number), 16, "0"))
 
 
-def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, dense: int = DENSE) -> DataFrame:
-    """(doc_id, component_id) of the rows with an id, grouped by likeness of whole texts.
-
-    Linked are texts that have ``similarity`` or more of their different word shingles in common (as a share of
-    those of both). SimHash only finds the candidates: 320 independent bits, with three standard deviations
-    allowed for. At 0.8, 64 bits differ in 10 on average, so links of 3 bits would find few; anchored keys take
-    the place of the guarantee for 3 bits.
-
-    Texts without a word are no copies of each other. Rows with a null id are left out; rows with the same id
-    are one node.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            both = [wide_simhash(text, words) for text in texts(batch)]
-            columns = [batch.column("doc_id"), _binary(np.stack([p for p, _ in both])), _binary(np.stack([a for _, a in both]))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "print", "anchors"])
-
-    def sets(nodes: DataFrame) -> DataFrame:
-        own = rows.join(nodes, rows["doc_id"] == nodes["node"], "left_semi")
-        return own.mapInArrow(hashed, "node long, hashes array<long>").distinct()
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            many = [np.unique(shingle_hashes(text, words)).view(np.int64) for text in texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(many, pa.list_(pa.int64()))], ["node", "hashes"])
-
-    rows = docs.where(F.col("doc_id").isNotNull() & F.coalesce("text", F.lit("")).rlike("[^ \t-\r]")).select(F.col("doc_id").cast("long"), "text")
-    prints = stage(rows.mapInArrow(run, "doc_id long, print binary, anchors binary"), "wide-prints")
-    same = prints.groupBy("print", "anchors").agg(F.min("doc_id").alias("node"))
-    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    bits = 32 * TABLES
-    links = similar_links(same, sets, int(bits * share + SPREAD * (bits * share * (1 - share)) ** 0.5), similarity, dense)
-    groups = components(links, "a", "b")
-    same = same.join(groups, "node", "left").select("print", "anchors", F.coalesce("root", "node").alias("component_id"))
-    return prints.join(same, ["print", "anchors"]).select("doc_id", "component_id")
-
-
-def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The columns of ``docs``, with one row of each group of similar_groups(): that with the least id.
+def drop_near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
+    """The columns of ``docs``, with one document of each group of near_duplicate_groups(): that with the least id.
 
-    Rows with a null id stay, as do rows that share the least id of their group: no other tells them apart.
+    Rows with a null id stay, as do rows that share the least id of their group: they are one document. Texts
+    without a word are a group, like any equal texts.
     """
-    groups = similar_groups(docs, words, similarity)
+    groups = near_duplicate_groups(docs, words)
     copies = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__copy")).distinct()
     return docs.join(copies, F.col("doc_id") == F.col("__copy"), "left_anti")
