@@ -30,9 +30,9 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: five words, a similarity of 0.8 or more."""
+    """One document of each group of near duplicates stays: runs of three words, fingerprints at most three bits apart."""
     ship(spark)
-    return simhash.drop_near_duplicates(docs, words=5, similarity=0.8)
+    return simhash.drop_near_duplicates(docs, words=3)
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
