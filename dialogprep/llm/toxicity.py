@@ -16,16 +16,23 @@ from dialogprep.sources.storage import stage
 
 #: Signs that stand for letters. "*" hides a vowel.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "*": "aeiou", "€": "e", "£": "l"}
-BETWEEN = " ._-*~'"
-#: Costs of the channel in nats: a sign for a letter, a separator put in, a letter repeated.
-SIGN_COST, HIDDEN_COST, SEPARATOR_COST, REPEAT_COST = 1.0, 2.0, 0.5, 0.5
+BETWEEN = " \n._-*~'/\\"
+#: Costs of the channel in nats: a sign for a letter, a separator put in, a letter repeated, a sign that is just that.
+SIGN_COST, HIDDEN_COST, SEPARATOR_COST, REPEAT_COST, PLAIN_COST = 1.0, 2.0, 0.5, 0.5, 3.0
+#: Letters that a part of a word split in two has at least, and the weight from which a word is looked for in parts.
+PART, PART_WEIGHT = 2, 0.5
 
 _SIGN = "[" + re.escape("".join(LEET)) + "]"
 _LETTER = r"[^\W\d_]"
-#: A sign between or before letters; a letter three times; letters set apart.
-SIGNS = re.compile(rf"{_LETTER}{_SIGN}+{_LETTER}|(?<!\S){_SIGN}+{_LETTER}")
-REPEATS = re.compile(rf"({_LETTER})\1\1")
-SPACED = re.compile(rf"(?<!\w)(?:{_LETTER}|{_SIGN})(?:[ ._~*'-](?:{_LETTER}|[0134578@$!])(?![^\W_])){{2,}}(?!\w)")
+#: A sign between letters or before one, at a word's start or behind a quote; a letter three times, or two letters twice.
+SIGNS = re.compile(rf"{_LETTER}{_SIGN}+{_LETTER}|(?<![^\W_]){_SIGN}+{_LETTER}")
+REPEATS = re.compile(rf"({_LETTER})\1\1|({_LETTER})\2{_LETTER}*?({_LETTER})\3")
+#: Signs behind a word's last letter, but for those that end sentences: they may be what they are.
+ENDINGS = re.compile(rf"{_LETTER}[0134578@$€£]+(?![^\W_])")
+#: Letters set apart by up to three separators each.
+SPACED = re.compile(rf"(?<!\w)(?:{_LETTER}|{_SIGN})(?:[ \n._~*'/\\-]{{1,3}}(?:{_LETTER}|[0134578@$!])(?![^\W_])){{2,}}(?!\w)")
+#: Words in parts that a sign joins.
+JOINED = re.compile(r"[-/._*~'\\]+")
 
 #: Symbols of the character model: 0 a word's edge, then a-z, the small letters of Latin-1, and any other letter.
 LATIN = [chr(c) for c in range(0x61, 0x7B)] + [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
@@ -51,8 +58,20 @@ class CharacterModel:
 
     cost: np.ndarray
 
+    def plain(self, token: str) -> float:
+        """The cost of the token as it is written: signs end words, and each has a cost of its own."""
+        total, a, b = 0.0, 0, 0
+        for char in token + " ":
+            s = SYMBOL.get(char, OTHER if char.isalpha() else 0)
+            total += self.cost[a, b, s] + (PLAIN_COST if char in LEET else 0.0)
+            a, b = b, s
+        return float(total)
+
     def decode(self, token: str) -> str:
-        """The cheapest reading of the token, of all paths through its lattice.
+        return self.read(token)[0]
+
+    def read(self, token: str) -> tuple[str, float]:
+        """The cheapest reading of the token, of all paths through its lattice, and its cost.
 
         A character is read as a letter that it may stand for, or left out as a separator or a repetition. The
         state of the Viterbi search is the last two symbols read; time is linear in the token's length.
@@ -81,7 +100,7 @@ class CharacterModel:
         while path:
             path, letter = path
             out.append(letter)
-        return "".join(reversed(out))
+        return "".join(reversed(out)), float(spent)
 
 
 def symbols(many: list[str]) -> np.ndarray:
@@ -120,7 +139,7 @@ def learn_characters(docs: DataFrame) -> CharacterModel:
 def disguised(text: str) -> list[tuple[int, int]]:
     """Spans of lower-case text that may hide a word, apart from each other, in order."""
     spans = [m.span() for m in SPACED.finditer(text)]
-    for m in (*SIGNS.finditer(text), *REPEATS.finditer(text)):
+    for m in (*SIGNS.finditer(text), *REPEATS.finditer(text), *ENDINGS.finditer(text)):
         a, b = m.span()
         while a and not text[a - 1].isspace():
             a -= 1
@@ -145,16 +164,34 @@ class Scorer:
     bias: float = -10.0
     known: dict[str, float] = field(default_factory=dict)
     read: dict[str, str] = field(default_factory=dict)
+    parts: dict[tuple[str, str], str] = field(default_factory=dict)
+    firsts: set[str] = field(default_factory=set)
+
+    def weigh(self, weights: dict[str, float]) -> None:
+        """Take the weights, and the parts that words of some weight may be split in, where the whole is the likelier reading."""
+        self.weights = weights
+        for word, weight in weights.items():
+            if weight >= PART_WEIGHT and word.isalpha():
+                whole = self.characters.plain(word) + SEPARATOR_COST
+                for i in range(PART, len(word) - PART + 1):
+                    if whole < self.characters.plain(word[:i]) + self.characters.plain(word[i:]):
+                        self.parts[word[:i], word[i:]] = word
+        self.firsts = {a for a, _ in self.parts}
 
     def restore(self, text: str) -> str:
-        """The text in lower case, with each disguised span decoded."""
+        """The text in lower case, with each disguised span decoded.
+
+        A span whose only signs stand at its end stays as it is where that is the likelier reading.
+        """
         text = text.lower()
         out, at = [], 0
         for a, b in disguised(text):
             token = text[a:b]
             plain = self.read.get(token)
             if plain is None:
-                plain = self.characters.decode(token)
+                plain, cost = self.characters.read(token)
+                if not (SIGNS.search(token) or SPACED.search(token)) and ENDINGS.search(token) and cost >= self.characters.plain(token):
+                    plain = token
                 if len(self.read) < REMEMBERED and len(token) < 64:
                     self.read[token] = plain
             out += [text[at:a], plain]
@@ -162,7 +199,18 @@ class Scorer:
         return "".join([*out, text[at:]])
 
     def words(self, text: str) -> set[str]:
-        return {w.strip(PUNCTUATION) for w in set(self.restore(text).split())}
+        """The words of the restored text, and those that stand in it in two parts."""
+        tokens = self.restore(text).split()
+        own = {w.strip(PUNCTUATION) for w in set(tokens)}
+        if self.parts:
+            if not self.firsts.isdisjoint(own):
+                clean = [w.strip(PUNCTUATION) for w in tokens]
+                own.update([self.parts[pair] for pair in set(zip(clean, clean[1:], strict=False)) if pair in self.parts])
+            for word in [w for w in own if not w.isalpha()]:
+                pieces = JOINED.split(word)
+                if len(pieces) > 1 and "".join(pieces) in self.weights:
+                    own.add("".join(pieces))
+        return own
 
     def score(self, text: str) -> float:
         known, total = self.known, self.bias
@@ -226,7 +274,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Scorer:
 
     seen = rows.mapInArrow(look, "own array<int>, toxic int").toPandas().sort_values("toxic", kind="stable")
     weights, scorer.bias = _logistic([np.asarray(o, dtype=np.int64) for o in seen["own"]], (seen["toxic"] > 0).to_numpy(dtype=np.float64), len(names))
-    scorer.weights = dict(zip(names, weights.tolist(), strict=True))
+    scorer.weigh(dict(zip(names, weights.tolist(), strict=True)))
     return scorer
 
 
