@@ -66,20 +66,22 @@ def reply_spans(
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     close = len(tpl.turn_close)
 
-    def size(m: Column) -> Column:
-        return as_long(len(tpl.turn_open) + F.length(m["role"]) + 1 + F.length(strip(m["content"])) + close + 1)
+    # Lengths up to the content and of it with its marker; the content is stripped once.
+    sized = F.transform(
+        messages,
+        lambda m: F.struct(
+            as_long(len(tpl.turn_open) + F.length(m["role"]) + 1).alias("head"),
+            as_long(F.length(strip(m["content"])) + close).alias("body"),
+            is_reply(m, tpl).alias("reply"),
+        ),
+    )
 
     def step(acc: Column, m: Column) -> Column:
-        start = as_long(acc["at"] + len(tpl.turn_open) + F.length(m["role"]) + 1)
-
-        def move(end: Column) -> Column:
-            span = F.struct(start.alias("start"), end.alias("end"))
-            spans = F.when(is_reply(m, tpl), F.array_append(acc["spans"], span))
-            return F.struct(
-                as_long(end + 1).alias("at"), spans.otherwise(acc["spans"]).alias("spans")
-            )
-
-        return let(as_long(start + F.length(strip(m["content"])) + close), move).cast(kind)
+        start = acc["at"] + m["head"]
+        end = start + m["body"]
+        span = F.struct(start.alias("start"), end.alias("end"))
+        spans = F.when(m["reply"], F.array_append(acc["spans"], span)).otherwise(acc["spans"])
+        return F.struct((end + 1).alias("at"), spans.alias("spans")).cast(kind)
 
     def within(block: Column, at: Column) -> Column:
         return F.aggregate(block, F.struct(at.alias("at"), none.alias("spans")).cast(kind), step, lambda acc: acc["spans"])
@@ -90,14 +92,17 @@ def reply_spans(
             blocks,
             F.array(as_long(F.length(_bos(tpl, with_bos)))),
             lambda acc, b: F.array_append(
-                acc, as_long(F.element_at(acc, -1) + F.aggregate(b, F.lit(0).cast("bigint"), lambda n, m: n + size(m)))
+                acc, F.element_at(acc, -1) + F.aggregate(b, F.lit(0).cast("bigint"), lambda n, m: n + m["head"] + m["body"] + 1)
             ),
         )
         return F.flatten(F.zip_with(blocks, F.slice(begins, F.lit(1), F.size(blocks)), within))
 
-    starts = F.when(F.size(messages) > 0, F.sequence(F.lit(1), F.size(messages), F.lit(SPAN_BLOCK)))
-    blocks = F.transform(starts, lambda at: F.slice(messages, at, F.lit(SPAN_BLOCK)))
-    return F.when(F.size(messages) > 0, let(blocks, spans_of)).when(messages.isNotNull(), none)
+    def cut(rows: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(rows), F.lit(SPAN_BLOCK))
+        return F.transform(starts, lambda at: F.slice(rows, at, F.lit(SPAN_BLOCK)))
+
+    found = let(sized, lambda rows: F.when(F.size(rows) > 0, let(cut(rows), spans_of)).otherwise(none))
+    return F.when(messages.isNotNull(), found)
 
 
 def labeled_chars(messages: Column, tpl: ChatTemplate = DEFAULT_TEMPLATE) -> Column:

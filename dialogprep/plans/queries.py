@@ -18,7 +18,7 @@ from dialogprep.functions.text import clean_utterance
 from dialogprep.operators import audit, chat, evaluate, prepare, sizing, split, template
 from dialogprep.plans.corpus import prepare_corpus_stream, split_corpus, stream_funnel
 from dialogprep.sources import tables
-from dialogprep.sources.storage import fresh_path, spread, stage
+from dialogprep.sources.storage import fresh_path, is_file, spread, stage
 from dialogprep.streaming.chat import accepted, chat_history_stream, settled
 from dialogprep.streaming.ordered import STATE_STORE, chat_history_in_order, close_log
 from dialogprep.streaming.prepare import prepare_stream
@@ -558,9 +558,11 @@ def chat_history_exit(spark, d):
 
 
 def _stream(spark: SparkSession, d: str, name: str, spread_by: str, batch_bytes: int) -> DataFrame:
-    schema = spark.read.parquet(f"{d}/{name}.parquet").schema
-    # The pattern matches the table as one file and as a folder of files.
-    return read_stream(spark, f"{d}/{name}.parquet*", schema, spread_by, None, batch_bytes)
+    path = f"{d}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    if is_file(spark, path):
+        return read_stream(spark, d, schema, spread_by, f"{name}.parquet", batch_bytes)
+    return read_stream(spark, path, schema, spread_by, None, batch_bytes)
 
 
 @query

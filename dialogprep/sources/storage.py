@@ -26,6 +26,12 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Is this one file, and not a folder of files?"""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isFile()
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 

@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from dialogprep.plans.oracle import ORACLES
 from dialogprep.plans.queries import QUERIES
 
-TABLES = ("conversations", "documents", "events", "labels")
+TABLES = ("conversations", "documents", "events", "labels", "benchmark")
 
 
 @pytest.fixture(scope="module")
