@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dialogprep.operators.lookup import fits_broadcast, lookup
 from dialogprep.sources.storage import stage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -25,8 +26,8 @@ PATTERNS = {
 #: What a text must hold for a kind to be looked for.
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 WORD = r"[\p{L}\p{N}]{3,}"
-#: Parts that the rows of a term are dealt to, so that common ones are not one task's work.
-PARTS = 32
+#: Entities of a document that one task pairs with its terms.
+ENTITIES = 256
 #: Share of an entity's information that a term may give away, and the documents that must show it.
 DISCLOSURE, SUPPORT = 0.9, 3
 
@@ -99,30 +100,38 @@ def find_spans(docs: DataFrame) -> DataFrame:
     A document's entities meet its terms only where their counts allow it: with n(both) at most n(entity), a term
     of more than n(entity) * (N / n(entity)) ** (1 - DISCLOSURE) documents cannot give the entity away.
 
-    A null text is empty. Rows with the same id and text are found the same spans. An empty table gives an empty
-    result. Spans of terms never overlap base spans.
+    Rows with the same id and text are one document: they count once, and are found the same spans. Entities that
+    stand in the same documents are weighed once, as all their numbers are the same; so a page of many addresses
+    costs no more than one. A null text is empty. An empty table gives an empty result. Spans of terms never overlap
+    base spans.
     """
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text")).select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     of_doc = F.xxhash64("doc_id", "text_hash").alias("doc")
     base = stage(rows.select("doc_id", "text_hash", of_doc, base_spans(F.col("text")).alias("base")), "base-spans")
-
-    entities = base.select("doc", F.explode(F.array_distinct(F.transform("base", lambda s: s["entity"]))).alias("entity"))
-    n_entity = entities.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= SUPPORT)
-    entities = stage(_dealt_join(entities, n_entity, "entity").distinct(), "entities")
+    sizes = base.groupBy("doc").agg(F.count("*").alias("rows"))
+    n = max(2, sizes.count())
+    repeated = stage(sizes.where("rows > 1").select("doc"), "repeated")
+    once = _once(rows.select(of_doc, "text"), repeated)
+
+    entities = _once(base.select("doc", "base"), repeated)
+    entities = entities.select("doc", F.explode(F.array_distinct(F.transform("base", lambda s: s["entity"]))).alias("entity"))
+    # entities of the same documents: one of them stands for all
+    classes = entities.groupBy("entity").agg(F.count("*").alias("n_entity"), F.bit_xor(F.xxhash64("doc")).alias("x"), F.bit_xor(F.xxhash64("doc", F.lit("again"))).alias("y"))
+    classes = classes.where(F.col("n_entity") >= SUPPORT).groupBy("n_entity", "x", "y").agg(F.min("entity").alias("entity"))
+    entities = stage(_known(entities, classes.select("entity", "n_entity"), "entity", "n_entity"), "entities")
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
-    terms = rows.select(of_doc, F.explode(words).alias("term"))
+    terms = once.select("doc", F.explode(words).alias("term"))
     n_term = terms.groupBy("term").agg(F.count("*").alias("n_term")).where(F.col("n_term") >= SUPPORT)
-    n = max(2, docs.count())
     most = F.col("n_entity") * F.pow(F.lit(float(n)) / F.col("n_entity"), F.lit(1 - DISCLOSURE)) * 1.000001
-    own = rows.select(of_doc, "text").join(entities.select("doc").distinct(), "doc", "left_semi").select("doc", F.explode(words).alias("term")).distinct()
     bound = entities.agg(F.max(most)).first()[0]
-    own = _dealt_join(own, n_term.where(F.col("n_term") <= F.lit(float(bound or 0))), "term")
-    both = own.join(entities, "doc").where(F.col("n_term") <= most).groupBy("entity", "term", "n_entity", "n_term").agg(F.count("*").alias("n_both"))
+    own = once.join(entities.select("doc").distinct(), "doc", "left_semi").select("doc", F.explode(words).alias("term"))
+    own = _known(own, n_term.where(F.col("n_term") <= F.lit(float(bound or 0))), "term", "n_term")
+    both = _paired(own, entities).where(F.col("n_term") <= most).groupBy("entity", "term", "n_entity", "n_term").agg(F.count("*").alias("n_both"))
     gain = F.log2(F.lit(float(n)) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
     own_gain = F.log2(F.lit(float(n)) / F.col("n_entity"))
-    telling = stage(both.where((F.col("n_both") >= SUPPORT) & (own_gain > 0) & (gain >= DISCLOSURE * own_gain)).select("term").distinct(), "telling")
-    told = _dealt_join(terms, telling, "term").groupBy("doc").agg(F.collect_set("term").alias("own"))
+    telling = both.where((F.col("n_both") >= SUPPORT) & (own_gain > 0) & (gain >= DISCLOSURE * own_gain)).select("term").distinct()
+    told = _known(terms, telling.withColumn("tells", F.lit(True)), "term", "tells").groupBy("doc").agg(F.collect_set("term").alias("own"))
     spans = rows.select("doc_id", "text_hash", of_doc, "text").join(told, "doc")
     found = places(F.col("text"), WORD, lambda v: F.array_contains("own", F.lower(v)))
     spans = spans.select(F.col("doc_id").alias("t_id"), F.col("text_hash").alias("t_hash"), F.transform(found, lambda s: F.struct(s["start"], s["end"])).alias("found"))
@@ -133,11 +142,33 @@ def find_spans(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", "text_hash", "base", F.coalesce(apart, empty).alias("terms"))
 
 
-def _dealt_join(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """The rows, which have a ``doc``, whose key is known, with the columns of it; a key's rows go to PARTS tasks."""
-    part = F.pmod("doc", F.lit(PARTS)).cast("int").alias("part")
-    parts = known.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    return rows.select("*", part).join(parts, [key, "part"]).drop("part")
+def _once(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """One row of each ``doc``; only those that repeat are shuffled, and each task folds its own first."""
+    if repeated.isEmpty():
+        return rows
+    known = F.broadcast(repeated) if fits_broadcast(repeated) else repeated
+    return rows.join(known, "doc", "left_anti").unionByName(rows.join(known, "doc", "left_semi").dropDuplicates(["doc"]))
+
+
+def _known(rows: DataFrame, known: DataFrame, key: str, told: str) -> DataFrame:
+    """The rows, which have a ``doc``, whose key is known, with the column ``told`` of it, which is never null.
+
+    What is known is broadcast if it is measured to be small. Else it is shuffled, and rows of hot keys are spread.
+    """
+    return lookup(rows, stage(known, "known"), [key], "doc").where(F.col(told).isNotNull())
+
+
+def _paired(own: DataFrame, entities: DataFrame) -> DataFrame:
+    """The terms of each document with its entities; a document of many entities is dealt to several tasks."""
+    parts = entities.groupBy("doc").agg(F.ceil(F.count("*") / F.lit(ENTITIES)).cast("int").alias("parts")).where("parts > 1")
+    parts = stage(parts, "long-lists")
+    if parts.isEmpty():
+        return own.join(entities, "doc")
+    known = F.broadcast(parts) if fits_broadcast(parts) else parts
+    n = F.coalesce("parts", F.lit(1))
+    dealt = entities.join(known, "doc", "left").withColumn("part", F.pmod(F.xxhash64("entity"), n).cast("int")).drop("parts")
+    copies = own.join(known, "doc", "left").withColumn("part", F.explode(F.sequence(F.lit(0), n - 1))).drop("parts")
+    return copies.join(dealt, ["doc", "part"]).drop("part")
 
 
 def _listed(spans: Column) -> Column:
