@@ -575,6 +575,8 @@ def chat_history_stream_events(spark, d):
 LATEST_SECONDS = 3 * 86400
 ARRIVALS = 6
 FILE_ROWS = 1_000_000
+#: A micro-batch takes the files of one arrival, up to so many.
+BATCH_FILES = 64
 #: A session that pauses for longer starts a new page.
 IDLE_SECONDS = 86400
 TIMED_LOG = "session bigint, seq bigint, role string, line string, ts timestamp"
@@ -585,8 +587,8 @@ def timed_log(rows: DataFrame) -> DataFrame:
     return event_log(rows.select("user_id", F.col("event_id"), "event_type", ts), "ts")
 
 
-def _arrive(spark: SparkSession, d: str, path: str, parts: range) -> None:
-    """Events in the order of arrival, up to LATEST_SECONDS after they happened, written part by part."""
+def _arrive(spark: SparkSession, d: str, path: str, parts: range) -> int:
+    """Events in the order of arrival, up to LATEST_SECONDS after they happened, written part by part; the files of a part."""
     rows = timed_log(events(spark, d))
     first, last = rows.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
     late = F.pmod(F.xxhash64("seq", F.lit("late")), F.lit(LATEST_SECONDS * 1_000_000))
@@ -595,16 +597,12 @@ def _arrive(spark: SparkSession, d: str, path: str, parts: range) -> None:
     files = max(1, rows.count() // (ARRIVALS * FILE_ROWS))
     for i in parts:
         rows.where(part == i).repartition(files).write.mode("append").parquet(path)
+    return files
 
 
-def _close(spark: SparkSession, path: str) -> None:
-    """Twice: what the first moves the watermark past comes out in the micro-batch of the second."""
-    for _ in range(2):
-        close_log(spark, path, TIMED_LOG)
-
-
-def _arriving(spark: SparkSession, path: str, idle_seconds: int | None = None) -> DataFrame:
-    log = read_stream(spark, path, TIMED_LOG, "session", None, 1)  # a file in each micro-batch
+def _arriving(spark: SparkSession, path: str, files: int, idle_seconds: int | None = None) -> DataFrame:
+    """An arrival in each micro-batch, so that there are as many however long the log is."""
+    log = read_stream(spark, path, TIMED_LOG, "session", batch_files=min(files, BATCH_FILES))
     return chat_history_in_order(log, f"{LATEST_SECONDS} seconds", idle_seconds=idle_seconds)
 
 
@@ -612,9 +610,10 @@ def _arriving(spark: SparkSession, path: str, idle_seconds: int | None = None) -
 def chat_history_ordered_stream_events(spark, d):
     """Events in disorder, many micro-batches, folded as the watermark passes."""
     path = fresh_path(spark, "arrivals")
-    _arrive(spark, d, path, range(ARRIVALS))
-    _close(spark, path)
-    folded = drain(_arriving(spark, path), "chat-ordered", settings=STATE_STORE)
+    files = _arrive(spark, d, path, range(ARRIVALS))
+    close_log(spark, path, TIMED_LOG)
+    # what the last row moves the watermark past comes out in a batch without data
+    folded = drain(_arriving(spark, path, files), "chat-ordered", settings=STATE_STORE | {NO_DATA_BATCHES: "true"})
     return _flat_history(accepted(folded))
 
 
@@ -627,12 +626,12 @@ def chat_history_idle_events(spark, d):
 def chat_history_expiring_stream_events(spark, d):
     """As above, in two runs: the second goes on from the state of the first, with sessions that were idle deleted."""
     path, out, progress = (fresh_path(spark, f"expiring-{name}") for name in ("log", "out", "progress"))
-    _arrive(spark, d, path, range(ARRIVALS // 2))
-    stream = _arriving(spark, path, IDLE_SECONDS)
+    files = _arrive(spark, d, path, range(ARRIVALS // 2))
+    stream = _arriving(spark, path, files, IDLE_SECONDS)
     advance(stream, out, progress, settings=STATE_STORE | {NO_DATA_BATCHES: "false"})
     _arrive(spark, d, path, range(ARRIVALS // 2, ARRIVALS))
-    _close(spark, path)
-    advance(_arriving(spark, path, IDLE_SECONDS), out, progress, settings=STATE_STORE | {NO_DATA_BATCHES: "false"})
+    close_log(spark, path, TIMED_LOG)
+    advance(_arriving(spark, path, files, IDLE_SECONDS), out, progress, settings=STATE_STORE | {NO_DATA_BATCHES: "true"})
     return _flat_history(accepted(advanced(spark, out, progress, stream.schema)), keep_from=True)
 
 

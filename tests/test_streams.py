@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from dialogprep import schemas
 from dialogprep.__main__ import main
 from dialogprep.operators import chat, prepare
-from dialogprep.plans import corpus
+from dialogprep.plans import corpus, queries
 from dialogprep.streaming import sinks
 from dialogprep.streaming.chat import accepted, chat_history_stream, late_rows, settled
 from dialogprep.streaming.ordered import STATE_STORE, chat_history_in_order, close_log
@@ -217,3 +217,36 @@ def test_command_line_streams(spark, small, tmp_path, capsys):
     main(["chat", log, f"{histories}-batch"])
     # the row that closes the log is a row of the null session here
     assert spark.read.parquet(f"{histories}-batch").count() == want.count() + 1
+
+
+@pytest.mark.parametrize("buckets, idle, page", [(1, 600, 3), (5, None, 1024)])
+def test_sessions_of_a_bucket_are_folded_in_one_call(spark, tmp_path, buckets, idle, page):
+    """Many sessions wait as a few chunks of their buckets, and come out as in batch."""
+    path, out, progress = (str(tmp_path / x) for x in ("log", "out", "progress"))
+    rows = timed(random_log(40, 30))
+    log = files_of(spark, path, rows[::2], rows[1::2])
+    advance(chat_history_in_order(log, "10 days", page, idle, buckets=buckets), out, progress, settings=STATE_STORE | {NO_DATA_BATCHES: "false"})
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE["spark.sql.streaming.stateStore.providerClass"])
+    try:
+        assert 1 <= state_rows(spark, progress, "waiting").count() <= 2 * buckets
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    close_log(spark, path, LOG)
+    stream = chat_history_in_order(spark.readStream.schema(LOG).parquet(path), "10 days", page, idle, buckets=buckets)
+    advance(stream, out, progress, settings=ORDERED)
+    folded = advanced(spark, out, progress, stream.schema)
+    assert late_rows(folded).isEmpty()
+    assert rows_of(accepted(folded)) == rows_of(chat.chat_history(spark.createDataFrame(rows, LOG), page, idle_seconds=idle))
+
+
+def test_a_longer_log_takes_as_many_micro_batches(spark, small, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "FILE_ROWS", 20)
+    path, out, progress = (str(tmp_path / x) for x in ("log", "out", "progress"))
+    files = queries._arrive(spark, small, path, range(queries.ARRIVALS))
+    assert files > 3
+    close_log(spark, path, queries.TIMED_LOG)
+    stream = queries._arriving(spark, path, files)
+    advance(stream, out, progress, settings=ORDERED)
+    assert finished_batches(spark, progress) <= queries.ARRIVALS + 2
+    want = chat.chat_history(queries.timed_log(queries.events(spark, small)))
+    assert rows_of(accepted(advanced(spark, out, progress, stream.schema))) == rows_of(want)
