@@ -51,13 +51,15 @@ class Grammar:
         starts = np.concatenate([np.arange(self.first), self.first + np.cumsum(self.lengths) - self.lengths])
         return np.frombuffer(b"".join(out), dtype="<u4"), starts
 
-    def decode(self, coded: np.ndarray) -> np.ndarray:
-        """The ids that the symbols stand for, as unsigned 32-bit integers."""
+    def decode(self, coded: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
+        """The ids that the symbols stand for, as unsigned 32-bit integers; ``sizes`` are those of the symbols, if known."""
         flat, starts = self.expansions()
-        sizes = self.sizes(coded)
+        sizes = self.sizes(coded) if sizes is None else sizes
         ends = np.cumsum(sizes)
-        at = np.repeat(starts[coded] - (ends - sizes), sizes)
-        return flat[at + np.arange(len(at))]
+        kind = np.int32 if max(len(flat), int(ends[-1]) if len(ends) else 0) < 1 << 31 else np.int64
+        at = np.repeat((starts[coded] - (ends - sizes)).astype(kind), sizes)
+        at += np.arange(len(at), dtype=kind)
+        return flat[at]
 
     def at(self, coded: np.ndarray, position: int) -> int:
         """The id at a position, found by lengths alone, without decoding what stands before."""
@@ -145,7 +147,9 @@ def _frequent(symbols: np.ndarray, places: np.ndarray, least: int) -> tuple[np.n
         odd = same[inside % 2 == 1]
         if len(odd):
             spare = places[odd]
-            places, left, right = (np.delete(x, odd) for x in (places, left, right))
+            even = np.ones(len(places), dtype=bool)
+            even[odd] = False
+            places, left, right = places[even], left[even], right[even]
     bits, at = int(symbols.max(initial=0)).bit_length(), max(1, len(places)).bit_length()
     key = left.astype(np.int64)
     key <<= bits
@@ -161,10 +165,11 @@ def _frequent(symbols: np.ndarray, places: np.ndarray, least: int) -> tuple[np.n
         key = key[order]
     edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, np.int64)
     count = np.diff(edges)
-    often = np.flatnonzero(count >= least)
+    enough = count >= least
+    often = np.flatnonzero(enough)
     pairs, sizes = key[edges[often]], count[often]
     own = np.full(len(key), -1, dtype=np.int32)
-    own[order] = np.repeat(np.where(count >= least, np.cumsum(count >= least) - 1, -1).astype(np.int32), count)
+    own[order[np.repeat(enough, count)]] = np.repeat(np.arange(len(often), dtype=np.int32), sizes)
     told = own >= 0
     return places[told], np.stack([pairs >> bits, pairs & ((1 << bits) - 1)], axis=1), own[told], sizes, spare
 
@@ -238,10 +243,11 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
             for row in batch.to_pylist():
                 rules, lengths, coded = (_numbers(row[c], row[f"{c}_high"]) for c in ("rules", "lengths", "coded"))
                 grammar = Grammar(row["first_rule"], rules.reshape(-1, 2), lengths)
-                ids = grammar.decode(coded)
+                sizes = grammar.sizes(coded)
+                ids = grammar.decode(coded, sizes)
                 # a document's ids are a slice of the block's: those of the symbols up to its end
-                edges = np.append(0, np.cumsum(grammar.sizes(coded))[np.array(row["doc_ends"], dtype=np.int64) - 1])
-                buffers = [None, pa.py_buffer((4 * edges).astype(np.int64)), pa.py_buffer(ids.tobytes())]
+                edges = np.append(0, np.cumsum(sizes)[np.array(row["doc_ends"], dtype=np.int64) - 1])
+                buffers = [None, pa.py_buffer((4 * edges).astype(np.int64)), pa.py_buffer(ids)]
                 n = len(edges) - 1
                 raw = pa.Array.from_buffers(pa.large_binary(), n, buffers).cast(pa.binary())
                 columns = [pa.array([row["shard"]] * n, pa.int32()), pa.array([row["block"]] * n, pa.int32()), pa.array(row["doc_ids"], pa.int64()), pa.array(edges[:-1]), pa.array(np.diff(edges)), raw]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from dialogprep.llm.common import chunks, texts
-from dialogprep.llm.tokens import word_tokenizer
+from dialogprep.llm.tokens import forget_tokenizers, word_tokenizer
 from dialogprep.sources.storage import stage
 
 WINDOW = 1024
@@ -22,6 +22,9 @@ PACKET = 256
 #: Tokens that one task holds at a time.
 BUCKET_TOKENS = 2_000_000
 
+#: Pieces that leave a task together, at most 4 MB of ids.
+PIECES_AT_ONCE = 1024
+
 PIECES = "doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -81,21 +84,23 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, pack
     own = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     held = held.withColumn("own_before", F.coalesce(F.sum("tokens").over(own), F.lit(0))).join(every, "bucket").join(targets, "source")
     null = lambda kind: F.lit(None).cast(kind)
-    heads = held.select("bucket", F.lit(-1).cast("long").alias("task"), F.lit(0).cast("long").alias("row"), "source", "weight", (F.col("weight") * F.col("all_before") - F.col("own_before")).alias("deficit"), null("long").alias("doc_id"), null("binary").alias("ids"))
-    body = rows.select(bucket.alias("bucket"), "task", "row", "source", null("double").alias("weight"), null("double").alias("deficit"), "doc_id", "ids")
+    heads = held.select("bucket", F.lit(-1).cast("long").alias("task"), F.lit(0).cast("long").alias("row"), "source", "weight", (F.col("weight") * F.col("all_before") - F.col("own_before")).alias("deficit"), null("long").alias("doc_id"), null("int").alias("size"), null("binary").alias("ids"))
+    body = rows.select(bucket.alias("bucket"), "task", "row", "source", null("double").alias("weight"), null("double").alias("deficit"), "doc_id", (F.length("ids") / F.col("n")).cast("int").alias("size"), "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_tokenizers()
         now: Bucket | None = None
         for batch in chunks(batches, "ids"):
-            columns = [batch.column(c).to_pylist() for c in ("bucket", "task", "source", "weight", "deficit", "doc_id", "ids")]
-            for number, task, source, weight, deficit, doc_id, ids in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("bucket", "task", "source", "weight", "deficit", "doc_id", "size", "ids")]
+            for number, task, source, weight, deficit, doc_id, size, ids in zip(*columns, strict=True):
                 if now is None or now.number != number:
                     if now:
                         yield from now.packed()
-                    now = Bucket(number, window, packet, word_tokenizer(path).dtype)
+                    now = Bucket(number, window, packet)
                 if task < 0:
                     now.open(source, weight, deficit)
                 else:
+                    now.size = size
                     now.queues[source].append([doc_id, ids, 0])
         if now:
             yield from now.packed()
@@ -107,8 +112,8 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, window: int = WINDOW, pack
 class Bucket:
     """The queues of one bucket, and the sequences made of them."""
 
-    def __init__(self, number: int, window: int, packet: int, dtype: np.dtype) -> None:
-        self.number, self.window, self.packet, self.dtype, self.size = number, window, packet, dtype, dtype.itemsize
+    def __init__(self, number: int, window: int, packet: int, size: int = 2) -> None:
+        self.number, self.window, self.packet, self.size = number, window, packet, size  # bytes of an id
         self.queues: dict[str, deque] = {}
         self.weight: dict[str, float] = {}
         self.deficit: dict[str, float] = {}
@@ -151,13 +156,13 @@ class Bucket:
             total = len(ids) // self.size
             while length:
                 take = min(length, room - offset)
-                own = np.frombuffer(ids, self.dtype, take, start * self.size).astype("<u4").tobytes()
+                own = np.frombuffer(ids, f"<u{self.size}", take, start * self.size).astype("<u4").tobytes()
                 out.append((doc_id, source, start, take, total, sequence, offset, own))
                 start, length, offset, left = start + take, length - take, offset + take, left - take
                 if offset == room:
                     sequence, offset = sequence + 1, 0
                     room = self.window if left >= self.window else _power(left)
-            if len(out) >= 4096:
+            if len(out) >= PIECES_AT_ONCE:
                 yield _pieces(out)
                 out = []
         if out:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
 from array import array
 from functools import cache
-from itertools import chain, compress, filterfalse, repeat
-from operator import is_
+from itertools import chain, filterfalse
 from string import punctuation
 
 import numpy as np
@@ -86,19 +86,18 @@ class WordTokenizer:
 
     def _encode_plain(self, many: list[str]) -> list[bytes]:
         """The ids of texts without added tokens."""
-        known, none = self.known, repeat(None)
-        words = [word_keys(text) for text in many]
-        found = [list(map(known.get, own)) for own in words]
-        missing = [list(compress(own, map(is_, raw, none))) for own, raw in zip(words, found, strict=True)]
-        fresh = list(set(chain.from_iterable(missing)))
-        for start in range(0, len(fresh), LEARNT_WORDS):
-            self._learn(fresh[start : start + LEARNT_WORDS])
-        out = []
-        for own, raw in zip(missing, found, strict=True):
-            if own:
-                learnt = map(known.__getitem__, own)
-                raw = [next(learnt) if ids is None else ids for ids in raw]
-            out.append(b"".join(raw))
+        known = self.known
+        collecting = gc.isenabled()
+        gc.disable()  # no cycles here, and the collector would go through all lists of words again and again
+        try:
+            words = [word_keys(text) for text in many]
+            fresh = list(set(chain.from_iterable(words)).difference(known))
+            for start in range(0, len(fresh), LEARNT_WORDS):
+                self._learn(fresh[start : start + LEARNT_WORDS])
+        finally:
+            if collecting:
+                gc.enable()
+        out = [b"".join(list(map(known.__getitem__, own))) for own in words]
         forget(known, fresh, REMEMBERED)
         return out
 
@@ -154,3 +153,8 @@ def _plain_byte_level(parts: dict) -> bool:
 def word_tokenizer(path: str) -> WordTokenizer:
     """One for each Python worker."""
     return WordTokenizer(path)
+
+
+def forget_tokenizers() -> None:
+    """Give the worker's memory back before work that does not tokenise."""
+    word_tokenizer.cache_clear()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import random
 
 import brute_llm as plain
@@ -13,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dialogprep.llm import bpe, common, fingerprints, grammar, langid, lines, neighbours, packing, pii, simhash, toxicity
+from dialogprep.llm import bpe, common, fingerprints, grammar, langid, lines, neighbours, packing, pii, simhash, tokens, toxicity
 from dialogprep.llm.oracle import ORACLES
 from dialogprep.llm.queries import QUERIES
 
@@ -503,3 +504,40 @@ def test_null_and_repeated_ids_of_the_other_operators(spark):
     labels = spark.createDataFrame([(3, 1), (3, 0), (None, 1)], "doc_id long, toxic int").withColumn("quality", F.lit(1))
     scores = toxicity.score_documents(docs, toxicity.learn(docs, labels)).collect()
     assert len(scores) == 5 and len({r.score for r in scores if r.doc_id == 3}) <= 2
+
+
+def test_packing_holds_little_at_once():
+    """The tokenizer's memory goes before packing, which needs none; pieces leave in batches of at most 4 MB of ids."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokens.word_tokenizer(path).encode_all(["some words to remember"])
+    tokens.forget_tokenizers()
+    assert tokens.word_tokenizer.cache_info().currsize == 0
+    for size in (2, 4):
+        bucket = packing.Bucket(0, 1024, 256, size)
+        bucket.open("", 1.0, 0.0)
+        bucket.queues[""].extend([i, np.full(900, i, dtype=f"<u{size}").tobytes(), 0] for i in range(2000))
+        batches = list(bucket.packed())
+        assert max(b.num_rows for b in batches) <= 1024 + 2 and len(batches) > 2
+        got = b"".join(ids for b in batches for ids in b.column("ids").to_pylist())
+        assert len(got) == 4 * 900 * 2000 and sum(n for b in batches for n in b.column("length").to_pylist()) == 900 * 2000
+
+
+def test_sizes_of_symbols_are_counted_once():
+    rng = np.random.default_rng(5)
+    ids = rng.integers(0, 9, 5000).astype("<u2")
+    made, coded, _ = grammar.compress(ids, np.array([len(ids) - 1]))
+    assert np.array_equal(made.decode(coded, made.sizes(coded)), ids) and np.array_equal(made.decode(coded), ids)
+    empty = np.empty(0, dtype=np.int64)
+    assert len(made.decode(empty, made.sizes(empty))) == 0
+
+
+def test_encoding_leaves_the_collector_as_it_was():
+    own = tokens.word_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    own.encode_all(["a text"])
+    assert gc.isenabled()
+    gc.disable()
+    try:
+        own.encode_all(["another text"])
+        assert not gc.isenabled()
+    finally:
+        gc.enable()
