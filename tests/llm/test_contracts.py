@@ -541,3 +541,24 @@ def test_encoding_leaves_the_collector_as_it_was():
         assert not gc.isenabled()
     finally:
         gc.enable()
+
+
+def test_words_with_signs_are_remembered_without_them():
+    """A remembered word serves with any sign behind it, so that a worker's memory holds each word once."""
+    own, library = tokens.WordTokenizer(public_tokenizers.path("byte_bpe_50k.json")), plain.english()
+    stems = [a + b for a in "abcdefghij" for b in ("lpha", "eta", "amma")]
+    text = "Words " + " ".join(stem + sign for stem in stems for sign in ("", ",", ".", "!", "?", ";", "'s", ")."))
+    assert np.frombuffer(own.encode_all([text])[0], own.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(own.known) <= len(stems) + 10
+
+
+def test_ids_around_wide_white_space_and_when_words_are_forgotten(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 300)
+    monkeypatch.setattr(tokens, "LEARNT_WORDS", 7)
+    monkeypatch.setattr(tokens, "PIECES", 20)
+    own, library, rng = tokens.WordTokenizer(public_tokenizers.path("byte_bpe_50k.json")), plain.english(), random.Random(3)
+    parts = [*(chr(i) for i in range(0x80, 0x3001) if chr(i).isspace()), *" \n\t\r\x0b\x1c\x1f\x00.,'_", " ", " ", "'s", "'ll", "é", "”", "’", "日本", "½", "ÿ", "w" * 70, "word", "Word", " the", "́"]
+    for _ in range(4):
+        many = ["", " ", "\xa0 a", *("".join(rng.choices(parts, k=rng.randrange(25))) for _ in range(400))]
+        assert [np.frombuffer(raw, own.dtype).tolist() for raw in own.encode_all(many)] == [e.ids for e in library.encode_batch(many, add_special_tokens=False)]
+        assert len(own.known) <= 300
