@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from dialogprep.llm.common import chunks, texts
 from dialogprep.llm.ordered import range_of, range_starts
-from dialogprep.llm.tokens import word_tokenizer
+from dialogprep.llm.tokens import TEXT_BYTES, word_tokenizer
 
 #: Ids of a block, but for one longer document. Each block has its own grammar.
 BLOCK_IDS = 1 << 19
@@ -191,7 +191,7 @@ def write_documents(docs: DataFrame, path: str, folder: str, end_id: int, block_
         own = word_tokenizer(path)
         end = int(end_id).to_bytes(own.dtype.itemsize, "little")
         held, size, block = [], 0, 0
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=TEXT_BYTES):
             ids = own.encode_all(texts(batch))
             for doc_id, raw, shard in zip(batch.column("doc_id").to_pylist(), ids, batch.column("shard").to_pylist(), strict=True):
                 n = len(raw) // own.dtype.itemsize + 1

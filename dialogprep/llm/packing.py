@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from dialogprep.llm.common import chunks, texts
-from dialogprep.llm.tokens import forget_tokenizers, word_tokenizer
+from dialogprep.llm.tokens import TEXT_BYTES, forget_tokenizers, word_tokenizer
 from dialogprep.sources.storage import stage
 
 WINDOW = 1024
@@ -38,7 +38,7 @@ def tokenise(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         own, task, row = word_tokenizer(path), TaskContext.get().partitionId(), 0
         size = own.dtype.itemsize
         end = int(end_id).to_bytes(size, "little")
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=TEXT_BYTES):
             ids = [i + end for i in own.encode_all(texts(batch))]
             n = np.array([len(i) // size for i in ids], dtype=np.int64)
             columns = [batch.column("doc_id"), batch.column("source"), pa.array(np.full(len(ids), task)), pa.array(np.arange(row, row + len(ids))), pa.array(n), pa.array(ids, pa.binary())]

@@ -22,6 +22,8 @@ BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 
 #: Encoded words a Python worker remembers. It forgets none and learns no more when full.
 REMEMBERED = 900_000
+#: Text that is encoded at once: words that are not remembered are learnt once in it.
+TEXT_BYTES = 4 << 20
 #: New words that the library gets at once.
 LEARNT_WORDS = 1 << 14
 #: Pieces that are one text for the library's model, and what parts them: the sign for the byte FF.
@@ -70,8 +72,6 @@ class WordTokenizer:
         self.visible = np.array([b if b in seen else next(hidden) for b in range(256)], dtype="<u2")
         self.parting = vocabulary.get(PARTING, -1)
         self.by_word &= self.parting >= 0 and not any(PARTING in token for token in vocabulary if token != PARTING)
-        if self.by_word:
-            self.library.pre_tokenizer = None  # the model alone
         # words by number: word i has ids[edges[i] : edges[i + 1]]
         self.known: dict[bytes, int] = {}
         self.ids, self.edges = np.zeros(1, dtype=self.dtype), np.zeros(1, dtype=np.int64)
@@ -174,7 +174,8 @@ class WordTokenizer:
         if not pieces:
             return []
         joined = [self._spelled(b"\xff".join(pieces[i : i + JOINED])) for i in range(0, len(pieces), JOINED)]
-        ids = np.array(list(chain.from_iterable([*e.ids, self.parting] for e in self.library.encode_batch_fast(joined, add_special_tokens=False))), dtype=self.dtype)
+        tokenize, parting = self.library.model.tokenize, self.parting
+        ids = np.array([i for text in joined for i in [*[t.id for t in tokenize(text)], parting]], dtype=self.dtype)
         ends = np.flatnonzero(ids == self.parting)
         starts = np.append(0, ends[:-1] + 1)
         raw, size = ids.tobytes(), self.dtype.itemsize

@@ -562,3 +562,31 @@ def test_ids_around_wide_white_space_and_when_words_are_forgotten(monkeypatch):
         many = ["", " ", "\xa0 a", *("".join(rng.choices(parts, k=rng.randrange(25))) for _ in range(400))]
         assert [np.frombuffer(raw, own.dtype).tolist() for raw in own.encode_all(many)] == [e.ids for e in library.encode_batch(many, add_special_tokens=False)]
         assert len(own.known) <= 300
+
+
+def test_words_of_a_batch_are_looked_up_once():
+    class Counting(dict):
+        calls = 0
+
+        def get(self, *a):
+            self.calls += 1
+            return super().get(*a)
+
+        def __getitem__(self, key):
+            self.calls += 1
+            return super().__getitem__(key)
+
+    own = tokens.WordTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    own.known = Counting()
+    text = "these are four words " * 5000
+    assert np.frombuffer(own.encode_all([text])[0], own.dtype).tolist() == plain.english().encode(text, add_special_tokens=False).ids
+    assert own.known.calls < 100
+
+
+def test_a_worker_loads_the_library_once(monkeypatch):
+    import tokenizers
+
+    calls, load = [], tokenizers.Tokenizer.from_file
+    monkeypatch.setattr(tokenizers, "Tokenizer", type("Loader", (), {"from_file": staticmethod(lambda path: calls.append(path) or load(path))}))
+    own = tokens.WordTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    assert own.by_word and len(calls) == 1
